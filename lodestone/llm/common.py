@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,8 +18,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the executors, once for each application."""
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    root = Path(__file__).resolve().parents[1]
+    with zipfile.ZipFile(to := Path(tempfile.mkdtemp(prefix="lodestone-")) / "lodestone_package.zip", "w") as z:
+        for p in sorted(root.rglob("*.py")):
+            z.write(p, p.relative_to(root.parent))
+    sc.addPyFile(str(to))
+    _shipped.add(sc.applicationId)
+
+
 def bounded_batches(spark: SparkSession) -> None:
     """Bounds Arrow batches by rows and bytes, so that long texts don't add up in a worker."""
+    ship(spark)
     if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
@@ -51,3 +70,22 @@ def texts(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(doc_id, text), null texts as empty ones, whatever other columns there are."""
     bounded_batches(df.sparkSession)
     return df.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+
+
+def spread(text: Column, most: int, parts: int = 4) -> Column:
+    """text, or evenly spaced parts of it of most characters together: bounds what a sampled row may hold."""
+    size = most // parts
+    step = (F.length(text) - size) / (parts - 1)
+    return F.when(F.length(text) <= most, text).otherwise(F.concat_ws("\n", *[F.substring(text, (F.lit(k) * step + 1).cast("int"), F.lit(size)) for k in range(parts)]))
+
+
+def sampled(rows: DataFrame, key: str | Column, class_col: str, per_class: int, classes: int) -> DataFrame:
+    """About per_class rows of each of the most frequent classes: those whose hash of key is lowest.
+
+    The bound on the hash comes from a count by class, so no class is gathered in one task."""
+    counts = rows.groupBy(class_col).count().orderBy(F.desc("count"), class_col).limit(classes).collect()
+    place = (F.xxhash64(key) / float(2**64) + 0.5)
+    keep = F.lit(False)
+    for value, n in counts:
+        keep = keep | ((F.col(class_col) == value) & (place < min(1.0, per_class / n)))
+    return rows.filter(keep)
