@@ -1,9 +1,10 @@
 """Quality classifier by compression.
 
-Two zstandard dictionaries are built, from good and from bad labelled text. A text is compressed in blocks
+Zstandard dictionaries are built from good and from bad labelled text. A text is compressed in blocks
 with each of them and with none; the difference of the two sizes, divided by the size of the text, says which
-text it resembles, and the size without a dictionary how repetitive it is. A logistic regression on these
-sizes turns them into a calibrated probability of label 1.
+text it resembles, and the size without a dictionary how repetitive it is. The same is done with the outline of
+the text (runs of lower case, upper case and digits stand as one character each, signs stay), which doesn't
+depend on its language. A logistic regression on these sizes turns them into a calibrated probability of label 1.
 
 Learning uses labelled rows outside of the held-out fold only: about PER_CLASS rows of each label, chosen by a
 hash of their id, with SAMPLE_CHARS characters of each at most (evenly spaced parts of longer ones), so what
@@ -18,6 +19,7 @@ are never read by score(); keep() returns all columns untouched.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 import numpy as np
@@ -31,51 +33,61 @@ from .common import bounded_batches, field, held_out, sampled, spread, texts
 PER_CLASS, SAMPLE_CHARS, DICTIONARY_BYTES, BLOCK, LEVEL, THRESHOLD = 4000, 16_384, 131_072, 4096, 1, 0.3
 
 
+#: Bytes of the outline: lower case and all beyond ASCII as a, upper case as A, digits as 0.
+KINDS = bytes(97 if x >= 128 or 97 <= x <= 122 else 65 if 65 <= x <= 90 else 48 if 48 <= x <= 57 else x for x in range(256))
+RUNS = re.compile(rb"a{2,}|A{2,}|0{2,}")
+
+
+def outline(data: bytes) -> bytes:
+    return RUNS.sub(lambda m: m[0][:1], data.translate(KINDS))
+
+
 class Sizes:
-    """Features of a text from its compressed sizes."""
+    """Features of a text from its compressed sizes, given the four dictionaries (good and bad, text and outline)."""
+
+    WIDTH = 9
 
-    def __init__(self, good: bytes, bad: bytes):
+    def __init__(self, dictionaries: tuple[bytes, ...]):
         import zstandard as z
 
-        raw = lambda x: z.ZstdCompressionDict(x, dict_type=z.DICT_TYPE_FULLDICT if x[:4] == b"\x37\xa4\x30\xec" else z.DICT_TYPE_RAWCONTENT)
         self.coders = []
-        for x in (good, bad):
-            if x:
-                known = raw(x)
-                known.precompute_compress(level=LEVEL)
-                self.coders.append(z.ZstdCompressor(level=LEVEL, dict_data=known, write_content_size=False, write_checksum=False, write_dict_id=False))
-            else:
-                self.coders.append(z.ZstdCompressor(level=LEVEL, write_content_size=False))
-        self.coders.append(z.ZstdCompressor(level=LEVEL, write_content_size=False, write_checksum=False))
+        for x in dictionaries:
+            known = z.ZstdCompressionDict(x, dict_type=z.DICT_TYPE_FULLDICT if x[:4] == b"\x37\xa4\x30\xec" else z.DICT_TYPE_RAWCONTENT)
+            known.precompute_compress(level=LEVEL)
+            self.coders.append(z.ZstdCompressor(level=LEVEL, dict_data=known, write_content_size=False, write_checksum=False, write_dict_id=False))
+        self.plain = z.ZstdCompressor(level=LEVEL, write_content_size=False, write_checksum=False)
 
     def features(self, text: str | None) -> list[float]:
         data = (text or "").encode()
         if not data:
-            return [0.0] * 6
-        n, blocks = len(data), range(0, len(data), BLOCK)
-        found = np.array([[len(c.compress(data[i : i + BLOCK])) for c in self.coders] + [min(BLOCK, n - i)] for i in blocks], float)
-        if len(found) > 1 and found[-1, 3] < BLOCK // 4:  # a short rest says little by itself
+            return [0.0] * self.WIDTH
+        good, bad, good_line, bad_line = self.coders
+        rows = []
+        for i in range(0, len(data), BLOCK):
+            block = data[i : i + BLOCK]
+            line = outline(block)
+            rows.append((len(good.compress(block)) - len(bad.compress(block)), len(good_line.compress(line)) - len(bad_line.compress(line)), len(self.plain.compress(block)), len(line), len(block)))
+        found = np.array(rows, float)
+        if len(found) > 1 and found[-1, 4] < BLOCK // 4:  # a short rest says little by itself
             found[-2] += found[-1]
             found = found[:-1]
-        each = (found[:, 0] - found[:, 1]) / found[:, 3]
-        plain = found[:, 2] / found[:, 3]
-        total = found.sum(0)
-        return [(total[0] - total[1]) / n, float(each.max()), float(each.min()), total[2] / n, float(plain.min()), 1.0 / (1.0 + n / 200.0)]
+        each, total, n = found / found[:, 4:], found.sum(0), len(data)
+        lines = found[:, 1] / found[:, 3]
+        return [*(total[:3] / n), total[1] / total[3], float(each[:, 0].max()), float(lines.max()), float(lines.min()), float(each[:, 2].min()), 1.0 / (1.0 + n / 200.0)]
 
 
 @dataclass(frozen=True)
 class Model:
-    good: bytes
-    bad: bytes
+    dictionaries: tuple[bytes, ...]
     mean: tuple[float, ...]
     scale: tuple[float, ...]
     weights: tuple[float, ...]
     share: float
 
-    def score(self, sizes: Sizes, batch: list[str | None]) -> np.ndarray:
-        x = np.array([sizes.features(t) for t in batch], float).reshape(len(batch), 6)
+    def score(self, sizes: Sizes | None, batch: list[str | None]) -> np.ndarray:
         if not self.weights:
             return np.full(len(batch), self.share)
+        x = np.array([sizes.features(t) for t in batch], float).reshape(len(batch), sizes.WIDTH)
         p = 1 / (1 + np.exp(-np.clip(design((x - self.mean) / self.scale) @ np.array(self.weights), -30, 30)))
         return np.where([bool(t) for t in batch], p, self.share)
 
@@ -128,17 +140,17 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     n = sum(shares.values())
     share = shares.get(1, 0) / n if n else 1.0
     if len({y for _, y in found}) < 2:
-        return Model(b"", b"", (), (), (), share)
+        return Model((), (), (), (), share)
     by = {y: [t.encode() for t, z in found if z == y] for y in (0, 1)}
     blocks = {y: [x[i : i + BLOCK] for x in by[y][::2] for i in range(0, len(x), BLOCK)] for y in by}
-    good, bad = dictionary(blocks[1]), dictionary(blocks[0])
-    sizes = Sizes(good, bad)
+    dictionaries = tuple(dictionary(x) for x in (blocks[1], blocks[0], [outline(x) for x in blocks[1]], [outline(x) for x in blocks[0]]))
+    sizes = Sizes(dictionaries)
     rest = [(t.decode(), y) for y in by for t in by[y][1::2] or by[y]]
     x, y = np.array([sizes.features(t) for t, _ in rest]), np.array([y for _, y in rest], float)
     mean, scale = x.mean(0), np.maximum(x.std(0), 1e-9)
     weight = np.where(y == 1, share / y.sum(), (1 - share) / (len(y) - y.sum())) * len(y)
     w = logistic(design((x - mean) / scale), y, weight)
-    return Model(good, bad, tuple(mean), tuple(scale), tuple(w), share)
+    return Model(dictionaries, tuple(mean), tuple(scale), tuple(w), share)
 
 
 def hash_of(text: str) -> bytes:
@@ -149,10 +161,10 @@ def hash_of(text: str) -> bytes:
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, score) for every row, from its whole text alone."""
-    sent = docs.sparkSession.sparkContext.broadcast(model)  # two dictionaries of DICTIONARY_BYTES
+    sent = docs.sparkSession.sparkContext.broadcast(model)  # four dictionaries of DICTIONARY_BYTES
 
     def run(batches):
-        sizes = Sizes(sent.value.good, sent.value.bad)
+        sizes = Sizes(sent.value.dictionaries) if sent.value.weights else None
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sent.value.score(sizes, batch.column(1).to_pylist()), pa.float64())], ["doc_id", "score"])
 
@@ -166,7 +178,7 @@ def keep(docs: DataFrame, model: Model, text_col: str = "text", threshold: float
     columns = len(docs.columns)
 
     def run(batches):
-        sizes = Sizes(sent.value.good, sent.value.bad)
+        sizes = Sizes(sent.value.dictionaries) if sent.value.weights else None
         for batch in batches:
             good = pa.array(sent.value.score(sizes, batch.column(columns).to_pylist()) >= threshold)
             yield pa.RecordBatch.from_arrays(batch.columns[:columns], batch.schema.names[:columns]).filter(good)
