@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from uuid import uuid4
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontam, langid, packing, quality, secret_scan, token_counts
-from .common import held_out, table
+from . import bpe, decontam, langid, packing, quality, secret_scan, token_counts, warc
+from .common import held_out, shared_dir, table
 
 BPE, PIECES = "byte_bpe_50k.tiktoken", "piece_bpe_32k.model"
 
@@ -40,12 +42,21 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), "contaminated")
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path, prefix = f"{shared_dir(spark)}/warc-{uuid4().hex}", "urn:x-page:"
+    warc.archive(table(spark, sf_dir, "pages"), path, "page_id", "url", "html", prefix)
+    found = warc.read(spark, path).filter(F.col("record_type").isin("response", "revisit"))
+    number = lambda x: F.substring_index(x, ":", -1).cast("long")
+    size = F.when(F.col("record_type") == "response", F.octet_length("payload")).otherwise(F.col("payload_bytes"))
+    return found.select(number("record_id").alias("page_id"), size.cast("long").alias("payload_bytes"), "payload_digest", "record_type", number("refers_to").alias("refers_to"))
+
+
 def op10_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_scan.report(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2(F.col("base").cast("binary"), 256).alias("base_sha256"), "spans", "n_live", "n_example")
 
 
-QUERIES = {x.__name__: x for x in (op1_packed_rows, op2_bpe_tree, op3_token_counts, op4_language, op5_quality, op7_decontamination, op10_secret_ownership)}
+QUERIES = {x.__name__: x for x in (op1_packed_rows, op2_bpe_tree, op3_token_counts, op4_language, op5_quality, op7_decontamination, op8_warc, op10_secret_ownership)}
 
 ORACLE = {
     "op7_decontamination": r"""
@@ -59,6 +70,14 @@ p AS (SELECT doc_id, count(DISTINCT pos) AS n_hit FROM hit, unnest(range(k, k +
 i AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hit) GROUP BY doc_id)
 SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN p USING (doc_id) LEFT JOIN i USING (doc_id)
+""",
+    "op8_warc": r"""
+WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha1(coalesce(html, '')) AS h FROM pages),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY h) AS first FROM p)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes,
+  array_to_string(list_transform(range(32), lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(1 + ((CAST('0x' || substr(h, (k // 4) * 5 + 1, 5) AS BIGINT) >> (15 - 5 * (k % 4))) & 31) AS BIGINT), 1)), '') AS payload_digest,
+  CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> first THEN first END AS refers_to
+FROM f
 """,
     "op10_secret_ownership": r"""
 WITH d AS (SELECT doc_id, source, coalesce(text, '') AS t FROM documents),
