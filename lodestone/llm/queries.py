@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontam, langid, packing, quality, secret_scan, token_counts, warc
+from . import bpe, decontam, jaccard, langid, packing, quality, secret_scan, token_counts, warc
 from .common import held_out, shared_dir, table
 
 BPE, PIECES = "byte_bpe_50k.tiktoken", "piece_bpe_32k.model"
@@ -51,12 +51,16 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(number("record_id").alias("page_id"), size.cast("long").alias("payload_bytes"), "payload_digest", "record_type", number("refers_to").alias("refers_to"))
 
 
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.links(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links", "copy_of", "kept")
+
+
 def op10_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_scan.report(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2(F.col("base").cast("binary"), 256).alias("base_sha256"), "spans", "n_live", "n_example")
 
 
-QUERIES = {x.__name__: x for x in (op1_packed_rows, op2_bpe_tree, op3_token_counts, op4_language, op5_quality, op7_decontamination, op8_warc, op10_secret_ownership)}
+QUERIES = {x.__name__: x for x in (op1_packed_rows, op2_bpe_tree, op3_token_counts, op4_language, op5_quality, op7_decontamination, op8_warc, op9_jaccard_join, op10_secret_ownership)}
 
 ORACLE = {
     "op7_decontamination": r"""
