@@ -136,11 +136,12 @@ def decode(tokens: DataFrame, path: str, pattern: str, id_col: str = "doc_id", i
     return tokens.select(F.col(id_col).alias("doc_id"), F.col(ids_col).alias("ids")).mapInArrow(run, schema)
 
 
-def digests(encoded: DataFrame) -> DataFrame:
-    """The digest columns of rows from encode(..., decoded=True)."""
+def digests(encoded: DataFrame, *more: str) -> DataFrame:
+    """The digest columns of rows from encode(..., decoded=True), and those named."""
     return encoded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary"), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
+        *more,
     )
