@@ -1,13 +1,65 @@
-"""A pipeline over documents: each stage works on what the stage before it kept."""
+"""A pipeline over documents: each stage works on what the stage before it kept.
+
+Each function takes (spark, docs, sf_dir); run() writes every stage's rows as Parquet in the shared folder and
+reads them again for the next one, so a lost executor costs no more than the stage at work.
+"""
 
 from __future__ import annotations
 
+from uuid import uuid4
+
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from lodestone.llm import bpe, decontam, jaccard, quality, secret_scan
+from lodestone.llm.common import shared_dir, table
+from lodestone.llm.queries import BPE
+
+
+def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents that the compression classifier scores below its threshold."""
+    return quality.keep(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+
+
+def one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the document with the smallest id of each group of near duplicates."""
+    return jaccard.dedup(docs)
+
+
+def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents that hold a window of a benchmark item."""
+    return decontam.clean(docs, table(spark, sf_dir, "benchmark"))
+
+
+def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Replaces live-looking secrets; n_chars follows the text."""
+    text = secret_scan.redact(docs)
+    return text.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else text
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id and the ids of every text, with the digests of the ids and of what they decode to."""
+    encoded = bpe.encode(docs, public_tokenizers.path(BPE), public_tokenizers.PATTERN, decoded=True)
+    return bpe.digests(encoded, "ids")
+
 
-STAGES = []
+STAGES = [
+    ("quality classifier", good_quality),
+    ("n-gram Jaccard join", one_of_near_duplicates),
+    ("benchmark decontamination", without_benchmark),
+    ("secret scans", without_secrets),
+    ("byte-level BPE encoding and decoding", tokens),
+]
 
+#: The quality classifier is learnt and MinHash is no SQL, so the rows are tested against brute force instead.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    docs = table(spark, sf_dir, "documents")
+    folder = f"{shared_dir(spark)}/pipeline-{uuid4().hex}"
+    for k, (_, stage) in enumerate(STAGES):
+        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{k}")
+        docs = spark.read.parquet(f"{folder}/{k}")
+    return docs
