@@ -39,35 +39,40 @@ def placed(members: DataFrame, block: int, group: str = "component", key: str =
     return members.join(sizes, group).withColumn("block", F.pmod(F.xxhash64(key), F.col("blocks")).cast("int"))
 
 
-def by_cell(rows: DataFrame, run: Callable[[pa.Table], Iterator[pa.RecordBatch]], schema: str, partitions: int, group: str = "component") -> DataFrame:
-    """Calls run for every pair of blocks of a group (and each block with itself) with the rows of the two.
-
-    A cell holds the rows of two blocks at most, whatever the size of the group; every row goes to as many cells
-    as its group has blocks. No pair of rows is ever emitted: run returns what it counts."""
-    both = rows.withColumn("__other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    both = both.withColumn("__i", F.least("block", "__other")).withColumn("__j", F.greatest("block", "__other")).drop("__other", "blocks")
-    dealt = both.repartition(partitions, group, "__i", "__j").sortWithinPartitions(group, "__i", "__j")
+def by_group(rows: DataFrame, keys: list[str], run: Callable[[pa.Table], Iterator[pa.RecordBatch]], schema: str, partitions: int) -> DataFrame:
+    """Calls run with the rows of each group in turn. For groups of a bounded size: one is in memory at a time."""
+    dealt = rows.repartition(partitions, *keys).sortWithinPartitions(*keys)
 
     def each(batches):
         held: list[pa.RecordBatch] = []
         last = None
         for batch in batches:
-            cells = list(zip(*(batch.column(batch.schema.get_field_index(x)).to_pylist() for x in (group, "__i", "__j")), strict=True))
+            groups = list(zip(*(batch.column(batch.schema.get_field_index(x)).to_pylist() for x in keys), strict=True))
             start = 0
-            for k in range(len(cells) + 1):
-                if k == len(cells) or cells[k] != last:
+            for k in range(len(groups) + 1):
+                if k == len(groups) or groups[k] != last:
                     if k > start:
                         held.append(batch.slice(start, k - start))
-                    if k < len(cells):
+                    if k < len(groups):
                         if held:
                             yield from run(pa.Table.from_batches(held))
-                        held, start, last = [], k, cells[k]
+                        held, start, last = [], k, groups[k]
         if held:
             yield from run(pa.Table.from_batches(held))
 
     return dealt.mapInArrow(each, schema)
 
 
+def by_cell(rows: DataFrame, run: Callable[[pa.Table], Iterator[pa.RecordBatch]], schema: str, partitions: int, group: str = "component") -> DataFrame:
+    """Calls run for every pair of blocks of a group (and each block with itself) with the rows of the two.
+
+    A cell holds the rows of two blocks at most, whatever the size of the group; every row goes to as many cells
+    as its group has blocks. No pair of rows is ever emitted: run returns what it counts."""
+    both = rows.withColumn("__other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    both = both.withColumn("__i", F.least("block", "__other")).withColumn("__j", F.greatest("block", "__other")).drop("__other", "blocks")
+    return by_group(both, [group, "__i", "__j"], run, schema, partitions)
+
+
 def forest(n: int, left, right) -> list[tuple[int, int]]:
     """Edges of a spanning forest of the links left[k]-right[k] between n places."""
     top = list(range(n))

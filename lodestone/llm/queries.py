@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontam, jaccard, langid, packing, quality, secret_scan, token_counts, warc
+from . import bpe, decontam, jaccard, langid, packing, quality, secret_scan, token_counts, vector_dedup, warc
 from .common import held_out, shared_dir, table
 
 BPE, PIECES = "byte_bpe_50k.tiktoken", "piece_bpe_32k.model"
@@ -37,6 +37,10 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out("doc_id").alias("held_out"), "score", (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"))
 
 
+def op6_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_dedup.links(table(spark, sf_dir, "embeddings"))
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontam.annotate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), "contaminated")
@@ -60,7 +64,7 @@ def op10_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2(F.col("base").cast("binary"), 256).alias("base_sha256"), "spans", "n_live", "n_example")
 
 
-QUERIES = {x.__name__: x for x in (op1_packed_rows, op2_bpe_tree, op3_token_counts, op4_language, op5_quality, op7_decontamination, op8_warc, op9_jaccard_join, op10_secret_ownership)}
+QUERIES = {x.__name__: x for x in (op1_packed_rows, op2_bpe_tree, op3_token_counts, op4_language, op5_quality, op6_nn_descent, op7_decontamination, op8_warc, op9_jaccard_join, op10_secret_ownership)}
 
 ORACLE = {
     "op7_decontamination": r"""
