@@ -30,6 +30,7 @@ from pyspark.sql import types as T
 from .common import field, held_out, sampled, spread, texts
 
 PER_LANG, MOST_LANGS, SAMPLE_CHARS, MOST_WORDS, ORDERS, NONE = 1500, 200, 16_384, 200_000, (5, 4, 3, 2, 1), "und"
+CACHED = 300_000  # words whose logs a worker remembers
 
 WORD = re.compile(r"[^\W\d_]+")
 
@@ -41,7 +42,8 @@ class Model:
     word_logs: np.ndarray
     grams: dict[str, int]
     gram_logs: np.ndarray
-    seen: dict[str, np.ndarray] = dataclass_field(default_factory=dict)
+    rows: dict[str, int] = dataclass_field(default_factory=dict)
+    logs: np.ndarray | None = None
 
     @staticmethod
     def learn(counts: list[tuple[str, str, int]]) -> Model:
@@ -62,30 +64,36 @@ class Model:
         logs = [log_shares(np.array([grams[g] for g in orders[order]])) for order in sorted(orders)]
         return Model(langs, {w: k for k, w in enumerate(words)}, log_shares(np.array(list(words.values()))), {g: k for k, g in enumerate(names)}, np.concatenate(logs) if logs else np.zeros((0, 0)))
 
-    def of_word(self, word: str) -> np.ndarray:
-        known = self.words.get(word)
-        if known is not None:
-            return self.word_logs[known]
+    def back_off(self, word: str) -> np.ndarray:
         for order in ORDERS:
             found = [self.grams[g] for g in n_grams(word, order) if g in self.grams]
             if found:
-                return self.gram_logs[found].mean(0) * max(1.0, (len(word) + 2) / order) / 2
+                return np.add.reduce(self.gram_logs[found]) * (max(1.0, (len(word) + 2) / order) / 2 / len(found))
         return np.zeros(len(self.langs))
 
+    def rows_of(self, words: Counter) -> list[int]:
+        """Places of the words in a table of logs: the known words, then unknown ones as they are met, bounded."""
+        known, rows, n = self.words, self.rows, len(self.words)
+        if self.logs is None or n + len(rows) + len(words) > len(self.logs):
+            rows.clear()
+            self.logs = np.concatenate([self.word_logs, np.zeros((max(CACHED, len(words)), len(self.langs)))])
+        out = []
+        for word in words:
+            row = known.get(word)
+            if row is None:
+                row = rows.get(word)
+                if row is None:
+                    row = rows[word] = n + len(rows)
+                    self.logs[row] = self.back_off(word)
+            out.append(row)
+        return out
+
     def predict(self, text: str | None) -> tuple[str, float]:
         counts = Counter(WORD.findall((text or "").lower()))
         if not counts or not self.langs:
             return NONE, 0.0
-        total = np.zeros(len(self.langs))
-        for word, n in counts.items():
-            logs = self.seen.get(word)
-            if logs is None:
-                if len(self.seen) >= 100_000:
-                    self.seen.clear()
-                logs = self.of_word(word)
-                if len(word) < 64:
-                    self.seen[word] = logs
-            total += n * logs
+        rows = self.rows_of(counts)
+        total = np.fromiter(counts.values(), np.float64, len(rows)) @ self.logs[rows]
         best = int(total.argmax())
         return self.langs[best], float(1 / np.exp(np.clip(total - total[best], -700, 0)).sum())
 
