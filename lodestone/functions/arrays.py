@@ -42,7 +42,8 @@ def median(values: Column) -> Column:
 
 
 def transpose(rows: Column, width: int) -> Column:
-    return F.array(*[F.transform(rows, lambda r, k=k: r[k]) for k in range(width)])
+    column = lambda k: F.transform(rows, lambda r: r[k])
+    return F.array(*[column(k) for k in range(width)])
 
 
 def padded(values: Column, width: Column, fill: Column) -> Column:

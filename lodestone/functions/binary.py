@@ -8,6 +8,7 @@ import zlib
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def digest(content: Column) -> Column:
@@ -29,13 +30,13 @@ def vocabulary_entry(token: Column, token_id: Column) -> Column:
     return F.concat(F.encode(token, "UTF-8"), F.unhex(F.lit("00")), little_endian(token_id))
 
 
-@F.pandas_udf("binary")
+@F.pandas_udf(T.BinaryType())
 def inflate(content: pd.Series) -> pd.Series:
     """What a gzip file holds; null for null."""
     return content.map(lambda x: None if x is None else zlib.decompress(x, 31))
 
 
-@F.pandas_udf("array<double>")
+@F.pandas_udf(T.ArrayType(T.DoubleType()))
 def solve(matrix: pd.Series, right: pd.Series) -> pd.Series:
     """The solution of a square system given row by row (perspective transforms have 8 unknowns)."""
     import numpy as np
@@ -83,11 +84,11 @@ def png_pixels(data: bytes) -> bytes:
     return bytes(out)
 
 
-@F.pandas_udf("binary")
+@F.pandas_udf(T.BinaryType())
 def encode_png(raw: pd.Series, width: pd.Series, height: pd.Series, channels: pd.Series) -> pd.Series:
     return pd.Series([None if r is None else png(int(w), int(h), int(c), bytes(r)) for r, w, h, c in zip(raw, width, height, channels, strict=True)])
 
 
-@F.pandas_udf("binary")
+@F.pandas_udf(T.BinaryType())
 def decode_png(data: pd.Series) -> pd.Series:
     return data.map(lambda x: None if x is None else png_pixels(x))
