@@ -66,6 +66,14 @@ def field(df: DataFrame, name: str, renamed: str | None = None) -> T.StructField
     return T.StructField(renamed or name, df.schema[name].dataType, True)
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """name, or a longer one that no column of df has."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def texts(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(doc_id, text), null texts as empty ones, whatever other columns there are."""
     bounded_batches(df.sparkSession)

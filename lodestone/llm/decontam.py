@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import bounded_batches, field, texts
+from .common import bounded_batches, field, fresh, texts
 
 WIDTH, SHARD_WORDS, MOST_BYTES = 10, 1_000_000, 32_000_000
 
@@ -86,13 +86,13 @@ class Windows:
         return places[at], np.repeat(np.arange(len(n)), n)
 
 
-def _shards(batches, limit: int):
-    """Gathers batches into lists of limit words at least, with the words of each row."""
+def _shards(batches, limit: int, text: int = 1):
+    """Gathers batches into lists of limit words at least, with the words of each row (column `text`)."""
     held, found, n = [], [], 0
     for batch in batches:
         held.append(batch)
-        for text in batch.column(batch.schema.get_field_index("__text")).to_pylist():
-            found.append(words(text))
+        for x in batch.column(text).to_pylist():
+            found.append(words(x))
             n += len(found[-1])
         if n >= limit:
             yield held, found
@@ -112,6 +112,19 @@ def _located(windows: Windows, found: list[list[bytes]]):
     return rows, places, which, sizes, starts, len(flat)
 
 
+_last: list = []
+
+
+def taken(block):
+    """The value of a block, of which a worker keeps only the last one."""
+    if _last and _last[0] is block:
+        return _last[1]
+    value = block.value
+    block.__dict__.pop("_value", None)
+    _last[:] = [block, value]
+    return value
+
+
 def _blocks(bench: DataFrame, item_col: str, text_col: str, most_bytes: int):
     """Lists of (item, text) of most_bytes each at most; an item alone may be longer."""
     block, size = [], 0
@@ -144,7 +157,7 @@ def annotate(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_col
         for held, found in _shards(batches, shard_words):
             hit, items = None, [set() for _ in found]
             for block in sent:  # one block's windows after the other over the same shard
-                windows = block.value
+                windows = taken(block)
                 rows, places, which, sizes, starts, total = _located(windows, found)
                 covered = _cover(rows, places, which, windows.lengths, total) if len(places) else np.zeros(total, bool)
                 hit = covered if hit is None else hit | covered
@@ -160,8 +173,7 @@ def annotate(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_col
             yield pa.RecordBatch.from_arrays(out, ["doc_id", "n_words", "n_hit", "items"])
 
     schema = T.StructType([field(docs, id_col, "doc_id"), T.StructField("n_words", T.LongType()), T.StructField("n_hit", T.LongType()), T.StructField("items", T.ArrayType(T.StringType()))])
-    rows = texts(docs, id_col, text_col).withColumnRenamed("text", "__text")
-    return rows.mapInArrow(run, schema).withColumn("contaminated", F.col("n_hit") > 0)
+    return texts(docs, id_col, text_col).mapInArrow(run, schema).withColumn("contaminated", F.col("n_hit") > 0)
 
 
 def matches(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", width: int = WIDTH, shard_words: int = SHARD_WORDS, most_bytes: int = MOST_BYTES) -> DataFrame:
@@ -184,7 +196,7 @@ def matches(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_col:
             ids = [y for x in held for y in x.column(0).to_pylist()]
             out: list[list] = [[], [], [], [], []]
             for block in sent:
-                windows, at = block.value
+                windows, at = taken(block)
                 rows, places, which, _, starts, _ = _located(windows, found)
                 seen = sorted((row, item, place - starts[row] - k, place - starts[row], len(windows.windows[w])) for row, place, w in zip(rows.tolist(), places.tolist(), which.tolist(), strict=True) for item, k in at[w])
                 last = None
@@ -198,7 +210,7 @@ def matches(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_col:
             yield pa.RecordBatch.from_arrays([pa.array([ids[r[0]] for r in runs], held[0].schema.field(0).type), pa.array([r[1] for r in runs], pa.string()), *(pa.array([int(x) for x in y], pa.int64()) for y in ([r[3] - r[2] for r in runs], [r[3] for r in runs], [r[4] for r in runs]))], ["doc_id", "item_id", "item_word", "doc_word", "n_words"])
 
     schema = T.StructType([field(docs, id_col, "doc_id"), T.StructField("item_id", T.StringType()), *(T.StructField(x, T.LongType()) for x in ("item_word", "doc_word", "n_words"))])
-    return texts(docs, id_col, text_col).withColumnRenamed("text", "__text").mapInArrow(run, schema)
+    return texts(docs, id_col, text_col).mapInArrow(run, schema)
 
 
 def clean(docs: DataFrame, bench: DataFrame, text_col: str = "text", item_col: str = "item_id", width: int = WIDTH, shard_words: int = SHARD_WORDS, most_bytes: int = MOST_BYTES) -> DataFrame:
@@ -209,14 +221,14 @@ def clean(docs: DataFrame, bench: DataFrame, text_col: str = "text", item_col: s
     columns = len(docs.columns)
 
     def run(batches):
-        for held, found in _shards(batches, shard_words):
+        for held, found in _shards(batches, shard_words, columns):
             dirty = np.zeros(len(found), bool)
             for block in sent:
-                dirty[_located(block.value, found)[0]] = True
+                dirty[_located(taken(block), found)[0]] = True
             at = 0
             for batch in held:
                 keep = pa.array(~dirty[at : at + batch.num_rows])
                 at += batch.num_rows
                 yield pa.RecordBatch.from_arrays(batch.columns[:columns], batch.schema.names[:columns]).filter(keep)
 
-    return docs.withColumn("__text", F.col(text_col)).mapInArrow(run, docs.schema)
+    return docs.withColumn(fresh(docs, "__text"), F.col(text_col)).mapInArrow(run, docs.schema)

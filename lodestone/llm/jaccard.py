@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import bounded_batches, cut, field
+from .common import bounded_batches, cut, field, fresh
 from .components import by_cell, connected_components, forest, placed
 from .decontam import words
 
@@ -235,10 +235,10 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how
     found = cut(links(docs, id_col, text_col, **how))
     gone = found.filter("not kept").select("jid", "jhash").distinct()
     again = found.filter("kept and (n_links > 0)").groupBy("jid", "jhash").count().filter("count > 1").select("jid", "jhash")
-    names = {"jid": "__jid", "jhash": "__jhash"}
+    names = {x: fresh(docs, f"__{x}") for x in ("jid", "jhash")}
     rows = docs.withColumns({names[x]: c for x, c in zip(names, _address(id_col, text_col), strict=True)})
     gone, again = gone.withColumnsRenamed(names), again.withColumnsRenamed(names)
-    on = ["__jid", "__jhash"]
+    on = [*names.values()]
     left = rows.join(gone, on, "left_anti")
     once = left.join(again, on, "left_semi").dropDuplicates(on)
     return left.join(again, on, "left_anti").unionByName(once).select(*[F.col(f"`{x}`") for x in docs.columns])

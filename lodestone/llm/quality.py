@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import bounded_batches, field, held_out, sampled, spread, texts
+from .common import bounded_batches, field, fresh, held_out, sampled, spread, texts
 
 PER_CLASS, SAMPLE_CHARS, DICTIONARY_BYTES, BLOCK, LEVEL, THRESHOLD = 4000, 16_384, 131_072, 4096, 1, 0.3
 
@@ -183,4 +183,4 @@ def keep(docs: DataFrame, model: Model, text_col: str = "text", threshold: float
             good = pa.array(sent.value.score(sizes, batch.column(columns).to_pylist()) >= threshold)
             yield pa.RecordBatch.from_arrays(batch.columns[:columns], batch.schema.names[:columns]).filter(good)
 
-    return docs.withColumn("__text", F.col(text_col)).mapInArrow(run, docs.schema)
+    return docs.withColumn(fresh(docs, "__text"), F.col(text_col)).mapInArrow(run, docs.schema)

@@ -1,0 +1,96 @@
+"""The registered queries: SQL where there is some, contracts elsewhere, and the pipeline against brute force."""
+
+import math
+import zlib
+
+import duckdb
+import public_tokenizers as P
+import pytest
+
+import corpus_pipeline
+from lodestone.llm import bpe, decontam, jaccard, quality, queries, secret_scan
+
+NAMES = "documents embeddings pages benchmark labels".split()
+
+
+def plain(v):
+    return "nan" if isinstance(v, float) and math.isnan(v) else str(v)
+
+
+@pytest.mark.parametrize("name", sorted(queries.ORACLE))
+def test_same_rows_as_sql(spark, small, name):
+    c = duckdb.connect()
+    for t in NAMES:
+        c.sql(f"CREATE VIEW {t} AS SELECT * FROM '{small}/{t}.parquet'")
+    df, sql = queries.QUERIES[name](spark, small), c.sql(queries.ORACLE[name])
+    order = sorted(df.columns)
+    assert order == sorted(sql.columns)
+    at = [sql.columns.index(x) for x in order]
+    assert sorted(tuple(plain(r[x]) for x in order) for r in df.collect()) == sorted(tuple(plain(r[k]) for k in at) for r in sql.fetchall())
+
+
+COLUMNS = {
+    "op2_bpe_tree": ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
+    "op3_token_counts": ["doc_id", "n_bytes", "n_tokens", "over_limit"],
+    "op4_language": ["doc_id", "held_out", "lang_pred", "score"],
+    "op5_quality": ["doc_id", "held_out", "score", "predicted"],
+    "op6_nn_descent": ["vec_id", "n_links", "component_id", "kept"],
+}
+
+
+@pytest.mark.parametrize("name", sorted(COLUMNS))
+def test_contract(spark, small, name):
+    got = queries.QUERIES[name](spark, small)
+    assert got.columns[:4] == COLUMNS[name]
+    rows = got.collect()
+    table = "embeddings" if name.startswith("op6") else "documents"
+    assert len(rows) == spark.read.parquet(f"{small}/{table}.parquet").count()
+    if "held_out" in got.columns:
+        assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) and 0 <= r.score <= 1 for r in rows)
+
+
+def test_pipeline_against_brute_force(spark, small):
+    docs = {r.doc_id: r for r in spark.read.parquet(f"{small}/documents.parquet").collect()}
+    frame = spark.read.parquet(f"{small}/documents.parquet")
+    model = quality.fit(frame, spark.read.parquet(f"{small}/labels.parquet"))
+    sizes = quality.Sizes(model.dictionaries)
+    ids = sorted(docs)
+    scores = dict(zip(ids, model.score(sizes, [docs[k].text for k in ids])))
+    first = corpus_pipeline.good_quality(spark, frame, small)
+    kept = sorted(r.doc_id for r in first.collect())
+    assert kept == [k for k in ids if scores[k] >= quality.THRESHOLD] and len(kept) < len(ids)
+    sets = {k: frozenset(jaccard.n_grams(docs[k].text).tolist()) for k in kept}
+    top = {k: k for k in kept}
+
+    def find(x):
+        while top[x] != x:
+            x = top[x]
+        return x
+
+    for i, a in enumerate(kept):
+        for b in kept[:i]:
+            if sets[a] and sets[b] and len(sets[a] & sets[b]) / len(sets[a] | sets[b]) >= 0.8:
+                p, q = find(a), find(b)
+                top[max(p, q)] = min(p, q)
+    one = [k for k in kept if find(k) == k]
+    stage1 = frame.filter(frame.doc_id.isin(kept))
+    second = corpus_pipeline.one_of_near_duplicates(spark, stage1, small)
+    assert sorted(r.doc_id for r in second.collect()) == one
+    bench = decontam.Windows([(str(r.item_id), r.text) for r in spark.read.parquet(f"{small}/benchmark.parquet").collect()])
+    clean = [k for k in one if not len(decontam._located(bench, [decontam.words(docs[k].text)])[1])]
+    third = corpus_pipeline.without_benchmark(spark, frame.filter(frame.doc_id.isin(one)), small)
+    assert sorted(r.doc_id for r in third.collect()) == clean and len(clean) < len(one)
+    fourth = corpus_pipeline.without_secrets(spark, frame.filter(frame.doc_id.isin(clean)), small)
+    assert fourth.columns == frame.columns
+    texts = {r.doc_id: r.text for r in fourth.collect()}
+    live = {r.doc_id for r in secret_scan.report(third).collect() if r.n_live}
+    assert sorted(texts) == clean and {k for k, t in texts.items() if secret_scan.REDACTED in t} == live
+    assert all(t == docs[k].text for k, t in texts.items() if secret_scan.REDACTED not in t)
+    last = {r.doc_id: r for r in corpus_pipeline.tokens(spark, fourth, small).collect()}
+    tree = bpe.coder(P.path(queries.BPE), P.PATTERN)
+    assert all(list(last[k].ids) == tree.coder.encode_ordinary(texts[k]) for k in clean)
+
+
+def test_pipeline_run(spark, small):
+    assert corpus_pipeline.run(spark, small).count() > 0
+    assert [len(x) for x in corpus_pipeline.STAGES] == [2] * 5
