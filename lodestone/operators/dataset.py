@@ -12,7 +12,8 @@ from lodestone.functions import text as X
 def keep_token(word: Column) -> Column:
     """2 to 12 characters, and letters only or all lower case."""
     w = X.strip(word)
-    return F.length(w).between(2, 12) & (w.rlike(r"^\p{L}+$") | (w == F.lower(w)))
+    # most words are plain letters, which one pattern tells
+    return word.rlike(r"^\p{L}{2,12}$") | F.length(w).between(2, 12) & (w.rlike(r"^\p{L}+$") | (w == F.lower(w)))
 
 
 def keep_script(line: Column, blocks: list[tuple[int, int]]) -> Column:
