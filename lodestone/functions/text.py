@@ -121,3 +121,8 @@ def punctuated(text: Column, r: Column, cjk: Column) -> Column:
 
 def cased(text: Column, r: Column) -> Column:
     return F.when(r < 0.55, text).when(r < 0.80, title(text)).otherwise(F.upper(text))
+
+
+def default(value: Column, other: Column, empty_too: bool = False) -> Column:
+    """value or, where it is null (with empty_too also where it is empty), other."""
+    return F.coalesce(F.nullif(value, F.lit("")) if empty_too else value, other)

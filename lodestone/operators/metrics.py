@@ -113,3 +113,34 @@ def throughput(count: Column, seconds: Column) -> Column:
 def zipped(a: DataFrame, b: DataFrame, index: str) -> DataFrame:
     """Two results of the same rows, by an explicit index; clashing names of b get the prefix other_."""
     return a.join(b.withColumnsRenamed({c: f"other_{c}" for c in b.columns if c != index}), index)
+
+
+def samples(coverage: Column, width: Column) -> tuple[Column, Column]:
+    """Places of ink and of paper in a flat coverage mask: ink above 0.6; paper below 0.05 in rows with ink, or
+    else their k places of least coverage, empty where these are too few or inked. 400 places or so of each."""
+    place = F.sequence(F.lit(0), F.size(coverage) - 1)
+    at = lambda i: F.get(coverage, i)
+    row = lambda i: F.floor(i / width)
+    ink = F.filter(place, lambda i: at(i) > 0.6)
+    inked = F.array_distinct(F.transform(ink, row))
+    rows = F.filter(place, lambda i: F.array_contains(inked, row(i)))
+    bare = F.filter(rows, lambda i: at(i) < 0.05)
+    k = F.least(F.lit(400), F.greatest(F.lit(30), F.floor(F.size(rows) / 5).cast("int")), F.size(rows) - 1)
+    lowest = F.slice(F.array_sort(F.transform(rows, lambda i: F.struct(at(i).alias("c"), i.alias("i")))), F.lit(1), F.greatest(k, F.lit(0)))
+    none = F.array().cast("array<int>")
+    usable = (k >= 30) & (F.coalesce(F.array_max(F.transform(lowest, lambda x: x["c"])), F.lit(1.0)) < 0.6)
+    paper = F.when(F.size(bare) >= 30, bare).when(usable, F.transform(lowest, lambda x: x["i"])).otherwise(none)
+    return A.stride_sample(ink, 400), A.stride_sample(paper, 400)
+
+
+def legible_strip(coverage: Column, channels: Column, width: Column, height: Column) -> Column:
+    """Whether ink and paper differ enough in some channel; channels are flat arrays like coverage."""
+    ink, paper = samples(coverage, width)
+    pick = lambda places: F.transform(channels, lambda c: F.transform(places, lambda i: F.get(c, i)))
+    return legible(pick(ink), pick(paper), height)
+
+
+def parameter_count(shapes: Column) -> Column:
+    """Number of values in tensors of the given shapes (array of arrays), as an aggregate."""
+    one = F.aggregate(shapes, F.lit(1).cast("long"), lambda a, n: a * n)
+    return F.sum(one)

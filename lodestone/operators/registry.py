@@ -41,7 +41,7 @@ def pair_lookup(requests: DataFrame, entries: DataFrame) -> DataFrame:
 def resolve(requests: DataFrame, entries: DataFrame, id_: str = "request") -> DataFrame:
     """One row per request (id_, source_language, target_language, architecture): the first entry of exactly the
     architecture asked for, or the preferred one where that is null; error tells what there is instead."""
-    asked = requests.withColumn("pair", X.pair_key(F.col("source_language"), F.col("target_language"))).withColumnRenamed("architecture", "asked")
+    asked = requests.select(id_, X.pair_key(F.col("source_language"), F.col("target_language")).alias("pair"), F.col("architecture").alias("asked"))
     met = asked.join(entries.select("pair", "pos", F.col("architecture").alias("found"), F.struct(*entries.columns).alias("entry")), "pair", "left")
     fits = F.col("found").isNotNull() & (F.col("asked").isNull() | (F.col("asked") == F.col("found")))
     place = F.when(F.col("asked").isNull(), rank_of(F.col("found"))).otherwise(F.lit(0))

@@ -88,3 +88,10 @@ def report(metrics: DataFrame, model: str = "model", metric: str = "metric", val
     """(model, value): the metrics of each model as one JSON object, by name."""
     entries = F.map_from_entries(F.array_sort(F.collect_list(F.struct(metric, value))))
     return metrics.groupBy(model).agg(F.to_json(entries).alias("value"))
+
+
+def write_versioned(rows: DataFrame, path: str, version: str) -> str:
+    """Writes beside earlier versions, which stay as backups; returns the path."""
+    to = f"{path}/version={version}"
+    rows.write.mode("errorifexists").parquet(to)
+    return to

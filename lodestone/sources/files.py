@@ -57,3 +57,26 @@ def shards(spark: SparkSession, path: str, columns: list[str] | None = None) ->
     """Parquet shards with the columns asked for only."""
     df = spark.read.parquet(path)
     return df.select(*columns) if columns else df
+
+
+def version(spark: SparkSession, path: str) -> DataFrame:
+    """One row: the stripped content of a version file."""
+    return spark.read.text(path, wholetext=True).select(X.strip(F.col("value")).alias("version"))
+
+
+def register_udtf(spark: SparkSession) -> None:
+    """SQL: SELECT * FROM tar_members(content) gives (member, size, content) of a tar archive's regular files."""
+    from pyspark.sql.functions import udtf
+
+    @udtf(returnType="member string, size long, content binary")
+    class TarMembers:
+        def eval(self, content):
+            import io as io_
+            import tarfile as tar_
+
+            with tar_.open(fileobj=io_.BytesIO(content)) as tar:
+                for m in tar:
+                    if m.isfile() and not m.name.startswith("/") and ".." not in m.name.split("/"):
+                        yield m.name, m.size, tar.extractfile(m).read()
+
+    spark.udtf.register("tar_members", TarMembers)
