@@ -1,6 +1,8 @@
 """Token-ID output: documents packed into fixed rows of ids by best-fit decreasing.
 
-Documents are dealt by a hash of id and text into shards of bounded size, and each shard is packed by itself.
+Documents are dealt by a hash of id and text into shards of about shard_bytes (rows without an id also by their
+place), and each shard is packed by itself, in parts of at most four times that size: so a task never holds more
+than a part and one document, even if very many rows are the same.
 Every text is encoded and closed with an end id; one longer than a row is split into consecutive pieces
 without loss. Pieces go, longest first, to the fullest row that still has room; a segment tree over the
 possible capacities finds that row in O(log row length). A shard gives a matrix of ids (one binary row for
@@ -8,8 +10,8 @@ each packed row, little endian, padded), with cumulative segment lengths and pos
 in each segment.
 
 Null and empty texts give a piece that holds the end id alone; null ids stay null in doc_ids; repeated rows are
-packed each; an empty table gives no rows. Ties in length go by (doc_id, text, piece), nulls first, so the
-result doesn't depend on how the input is split. Columns other than the two named ones are ignored.
+packed each; an empty table gives no rows. Ties in length go by (doc_id, hash of text, piece), nulls first,
+so the result doesn't depend on how the input is split (for rows without an id it may). Columns other than the two named ones are ignored.
 """
 
 from __future__ import annotations
@@ -77,7 +79,7 @@ def best_fit_decreasing(lengths: list[int], row: int) -> list[list[int]]:
     return packed
 
 
-SCHEMA = "shard int, row int, n_tokens int, doc_ids array<bigint>, pieces array<int>, cu_seqlens array<int>, input_ids binary, position_ids binary"
+SCHEMA = "shard int, part int, row int, n_tokens int, doc_ids array<bigint>, pieces array<int>, cu_seqlens array<int>, input_ids binary, position_ids binary"
 
 
 def pack(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", row: int = ROW, end: int = END, shard_bytes: int = SHARD_BYTES) -> DataFrame:
@@ -87,40 +89,50 @@ def pack(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_
     total = rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     shards = max(1, -(-total // shard_bytes))
 
-    def run(group: pa.Table) -> pa.Table:
-        bpe = coder(path, pattern)
-        kind = np.uint16 if max(end, len(bpe.n_bytes)) <= 0xFFFF else np.uint32
-        found = sorted(zip(group["doc_id"].to_pylist(), group["text"].to_pylist(), strict=True), key=lambda x: (x[0] is not None, x[0] or 0, x[1]))
-        shard, owners, numbers, parts = group["shard"][0].as_py(), [], [], []
-        for doc_id, text in found:
-            ids = np.asarray([*bpe.encode(text), end], kind)
-            for i in range(0, len(ids), row):
-                owners.append(doc_id)
-                numbers.append(i // row)
-                parts.append(ids[i : i + row])
-        del found
+    def packed(shard: int, part: int, owners: list, numbers: list, parts: list) -> pa.RecordBatch:
         out: dict[str, list] = {x: [] for x in names}
         for at, members in enumerate(best_fit_decreasing([len(x) for x in parts], row)):
             sizes = [len(parts[k]) for k in members]
-            ids, places = np.full(row, end, kind), np.zeros(row, np.uint16 if row <= 0xFFFF else np.uint32)
+            ids, places = np.full(row, end, parts[0].dtype), np.zeros(row, np.uint16 if row <= 0xFFFF else np.uint32)
             ids[: sum(sizes)] = np.concatenate([parts[k] for k in members])
             places[: sum(sizes)] = np.concatenate([np.arange(n) for n in sizes])
-            line = (shard, at, sum(sizes), [owners[k] for k in members], [numbers[k] for k in members], np.cumsum([0, *sizes]).tolist(), ids.tobytes(), places.tobytes())
+            line = (shard, part, at, sum(sizes), [owners[k] for k in members], [numbers[k] for k in members], np.cumsum([0, *sizes]).tolist(), ids.tobytes(), places.tobytes())
             for x, value in zip(names, line, strict=True):
                 out[x].append(value)
-        return pa.table(out, schema=arrow)
+        return pa.RecordBatch.from_pydict(out, schema=arrow)
+
+    def run(batches):
+        bpe = coder(path, pattern)
+        kind = np.uint16 if max(end, len(bpe.n_bytes)) <= 0xFFFF else np.uint32
+        now, part, size, owners, numbers, parts = None, 0, 0, [], [], []
+        for batch in batches:
+            for doc_id, text, shard in zip(*(x.to_pylist() for x in batch.columns[:3]), strict=True):
+                if shard != now or size > 4 * shard_bytes:
+                    if parts:
+                        yield packed(now, part, owners, numbers, parts)
+                    now, part, size, owners, numbers, parts = shard, part + 1 if shard == now else 0, 0, [], [], []
+                ids = np.asarray([*bpe.encode(text), end], kind)
+                size += len(text.encode()) + 64
+                for i in range(0, len(ids), row):
+                    owners.append(doc_id)
+                    numbers.append(i // row)
+                    parts.append(ids[i : i + row])
+        if parts:
+            yield packed(now, part, owners, numbers, parts)
 
     names = [x.split()[0] for x in SCHEMA.split(", ")]
     i32, i64 = pa.int32(), pa.int64()
-    arrow = pa.schema(list(zip(names, [i32, i32, i32, pa.list_(i64), pa.list_(i32), pa.list_(i32), pa.binary(), pa.binary()], strict=True)))
-    dealt = rows.select(F.col("doc_id").cast(T.LongType()), "text", F.pmod(F.xxhash64("doc_id", "text"), F.lit(shards)).cast("int").alias("shard"))
-    return dealt.groupBy("shard").applyInArrow(run, SCHEMA)
+    arrow = pa.schema(list(zip(names, [i32, i32, i32, i32, pa.list_(i64), pa.list_(i32), pa.list_(i32), pa.binary(), pa.binary()], strict=True)))
+    place = F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id() % 4096)
+    dealt = rows.select(F.col("doc_id").cast(T.LongType()), "text", F.pmod(F.xxhash64("doc_id", "text", place), F.lit(shards)).cast("int").alias("shard"))
+    dealt = dealt.withColumn("__h", F.xxhash64("text"))  # ties of an id go by a hash of the text
+    return dealt.repartition("shard").sortWithinPartitions("shard", F.col("doc_id").asc_nulls_first(), "__h").mapInArrow(run, SCHEMA)
 
 
 def write_bins(packed: DataFrame, path: str) -> DataFrame:
-    """Writes input_ids, position_ids and segment ends of each shard as flat binary files below path (any file
+    """Writes input_ids, position_ids and segment ends of each part of a shard as flat binary files below path (any file
     system that pyarrow knows by its URI), each under a temporary name that is then moved, so that a task that
-    runs twice leaves whole files. Returns (shard, n_rows)."""
+    runs twice leaves whole files. Returns (shard, part, n_rows)."""
 
     def run(group: pa.Table) -> pa.Table:
         from uuid import uuid4
@@ -130,15 +142,15 @@ def write_bins(packed: DataFrame, path: str) -> DataFrame:
         files, base = fs.FileSystem.from_uri(path)
         files.create_dir(base, recursive=True)
         group = group.sort_by("row")
-        shard = group["shard"][0].as_py()
+        shard, part = group["shard"][0].as_py(), group["part"][0].as_py()
         ends = np.concatenate([np.asarray(x, np.int32) for x in group["cu_seqlens"].to_pylist()])
         for name, chunks in (("input_ids", group["input_ids"].to_pylist()), ("position_ids", group["position_ids"].to_pylist()), ("cu_seqlens", [ends.tobytes()])):
-            to = f"{base}/{name}-{shard:05d}.bin"
+            to = f"{base}/{name}-{shard:05d}-{part:03d}.bin"
             temporary = f"{to}.{uuid4().hex}"
             with files.open_output_stream(temporary) as f:
                 for x in chunks:
                     f.write(x)
             files.move(temporary, to)
-        return pa.table({"shard": pa.array([shard], pa.int32()), "n_rows": pa.array([len(group)], pa.int32())})
+        return pa.table({"shard": pa.array([shard], pa.int32()), "part": pa.array([part], pa.int32()), "n_rows": pa.array([len(group)], pa.int32())})
 
-    return packed.groupBy("shard").applyInArrow(run, "shard int, n_rows int")
+    return packed.groupBy("shard", "part").applyInArrow(run, "shard int, part int, n_rows int")

@@ -68,6 +68,13 @@ def test_same_whatever_the_partitions(spark):
     assert sorted(a) == sorted(b)
 
 
+def test_parts_bound_what_a_task_holds(spark):
+    data = [(7, "the same row again and again", 0, "")] * 300 + [(None, "no id", 0, "")] * 100
+    packed = packing.pack(spark.createDataFrame(data, DDL), PATH, P.PATTERN, row=64, shard_bytes=500).collect()
+    assert max(r.part for r in packed) >= 5 and sum(len(r.doc_ids) for r in packed) == 400
+    assert len({(r.shard, r.part, r.row) for r in packed}) == len(packed)
+
+
 def test_empty(spark):
     assert packing.pack(spark.createDataFrame([], DDL), PATH, P.PATTERN).count() == 0
 
@@ -75,11 +82,11 @@ def test_empty(spark):
 def test_bins(spark, tmp_path):
     data = [(k, f"text number {k} " * (k % 17), 0, "") for k in range(50)]
     packed = packing.pack(spark.createDataFrame(data, DDL), PATH, P.PATTERN, row=64, shard_bytes=2000)
-    n = {r.shard: r.n_rows for r in packing.write_bins(packed, f"file://{tmp_path}/bins").collect()}
-    rows = sorted(packed.collect(), key=lambda r: (r.shard, r.row))
-    for shard, count in n.items():
-        ids = np.fromfile(tmp_path / "bins" / f"input_ids-{shard:05d}.bin", np.uint16).reshape(count, 64)
-        assert ids.tobytes() == b"".join(r.input_ids for r in rows if r.shard == shard)
+    n = {(r.shard, r.part): r.n_rows for r in packing.write_bins(packed, f"file://{tmp_path}/bins").collect()}
+    rows = sorted(packed.collect(), key=lambda r: (r.shard, r.part, r.row))
+    for (shard, part), count in n.items():
+        ids = np.fromfile(tmp_path / "bins" / f"input_ids-{shard:05d}-{part:03d}.bin", np.uint16).reshape(count, 64)
+        assert ids.tobytes() == b"".join(r.input_ids for r in rows if (r.shard, r.part) == (shard, part))
     assert len(list((tmp_path / "bins").iterdir())) == 3 * len(n)
     with pytest.raises(IndexError):
         packing.CapacityTree(4).put(0, 9)
