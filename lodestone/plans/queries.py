@@ -415,3 +415,149 @@ def losses(spark, sf_dir):
 def metric_report(spark, sf_dir):
     m = table(spark, sf_dir, "events").groupBy(F.col("event_type").alias("model"), F.concat(F.lit("m"), F.col("user_id") % 4).alias("metric")).agg(F.count("*").alias("value"))
     return K.report(m)
+
+
+# Smaller operators
+
+
+@query("SELECT p_partkey, p_brand FROM part WHERE NOT (starts_with(p_brand, 'Brand#1') OR starts_with(p_brand, 'Brand#2'))")
+def prefix_exclusion(spark, sf_dir):
+    return table(spark, sf_dir, "part").filter(~E.excluded(F.col("p_brand"), ["Brand#1", "Brand#2"])).select("p_partkey", "p_brand")
+
+
+@query("SELECT p_partkey, CASE WHEN p_size % 2 = 0 THEN 'en' ELSE 'de,en,fr' END AS languages FROM part")
+def language_set(spark, sf_dir):
+    variant = F.when(F.col("p_size") % 2 == 0, F.concat("p_brand", F.lit(".en"))).otherwise(F.col("p_brand"))
+    return table(spark, sf_dir, "part").select("p_partkey", F.array_join(I.language_set(variant, ["de", "en", "fr"]), ",").alias("languages"))
+
+
+@query("SELECT p_partkey, CASE WHEN p_size > 25 THEN 'hub/' || p_brand ELSE 'http://' || p_name END AS source FROM part")
+def source_choice(spark, sf_dir):
+    hub = F.when(F.col("p_size") > 25, F.concat(F.lit("hub/"), "p_brand"))
+    return table(spark, sf_dir, "part").select("p_partkey", I.source_of(hub, F.concat(F.lit("http://"), "p_name")).alias("source"))
+
+
+@query("SELECT o_orderkey, o_orderstatus <> 'O' AS done FROM orders")
+def boolean_text(spark, sf_dir):
+    text = F.when(F.col("o_orderstatus") == "F", "Yes").when(F.col("o_orderstatus") == "P", "1").otherwise("no")
+    return table(spark, sf_dir, "orders").select("o_orderkey", X.to_boolean(text).alias("done"))
+
+
+@query("SELECT event_id, user_id AS first, 'base/' || event_type AS path FROM events")
+def map_functions(spark, sf_dir):
+    first = A.first_of_each(F.create_map(F.lit("a"), F.array("user_id", "event_id")))["a"]
+    path = X.under(F.lit("base/"), F.create_map(F.lit("a"), "event_type"))["a"]
+    return table(spark, sf_dir, "events").select("event_id", first.alias("first"), path.alias("path"))
+
+
+@query("SELECT c_custkey, coalesce(string_agg(DISTINCT o_orderstatus, ', ' ORDER BY o_orderstatus), 'none') AS available FROM customer LEFT JOIN orders ON o_custkey = c_custkey GROUP BY c_custkey")
+def names_joined(spark, sf_dir):
+    met = table(spark, sf_dir, "customer").join(table(spark, sf_dir, "orders"), F.col("o_custkey") == F.col("c_custkey"), "left")
+    return met.groupBy("c_custkey").agg(X.names_or_none(F.array_sort(F.collect_set("o_orderstatus"))).alias("available"))
+
+
+@query("SELECT 'd' || doc_id || '.tar.sha256' AS path, sha256(coalesce(text, '')) || '  d' || doc_id || '.tar.gz' AS value FROM documents")
+def checksum_sidecar(spark, sf_dir):
+    files = table(spark, sf_dir, "documents").select(F.concat(F.lit("d"), "doc_id", F.lit(".tar.gz")).alias("path"), F.coalesce("text", F.lit("")).alias("content"))
+    return K.sidecars(files)
+
+
+@query("SELECT o_orderkey, o_orderstatus FROM orders ORDER BY o_orderkey LIMIT 20")
+def first_rows(spark, sf_dir):
+    return D.first_n(table(spark, sf_dir, "orders"), "o_orderkey", 20).select("o_orderkey", "o_orderstatus")
+
+
+@query("SELECT a.vec_id AS vec_id, a.label AS label, b.label AS other_label FROM embeddings a JOIN embeddings b USING (vec_id)")
+def position_zip(spark, sf_dir):
+    e = table(spark, sf_dir, "embeddings").select("vec_id", "label")
+    return M.zipped(e, e, "vec_id")
+
+
+@query("""SELECT * FROM (VALUES ('arabic', 'ar', 1536, 1791), ('devanagari', 'hi', 2304, 2431), ('tamil', 'ta', 2944, 3071), ('thai', 'th', 3584, 3711), ('cjk', 'zh_cn', 19968, 40959),
+('cjk', 'ja', 19968, 40959), ('cjk', 'ja', 12352, 12543), ('cjk', 'ko', 44032, 55203), ('cjk', 'ko', 19968, 40959)) AS t(script, code, lo, hi)""")
+def lookup_chain(spark, sf_dir):
+    return L.script_words(spark)
+
+
+@query("SELECT event_type, count(*) AS n, count(DISTINCT user_id) AS users FROM events GROUP BY event_type")
+def group_counts(spark, sf_dir):
+    return table(spark, sf_dir, "events").groupBy("event_type").agg(F.count("*").alias("n"), F.count_distinct("user_id").alias("users"))
+
+
+@query("SELECT o_orderstatus, round(avg(o_totalprice), 4) AS mean, round(quantile_cont(o_totalprice, 0.95), 4) AS p95, round(max(o_totalprice), 4) AS max FROM orders GROUP BY o_orderstatus")
+def tail_summary(spark, sf_dir):
+    s = M.summary(table(spark, sf_dir, "orders"), ["o_orderstatus"], "o_totalprice")
+    return s.select("o_orderstatus", *[F.round(c, 4).alias(c) for c in ("mean", "p95", "max")])
+
+
+@query("SELECT l_orderkey, l_linenumber, CASE WHEN l_quantity < 20 THEN 0.0 ELSE least(2 * l_discount / greatest(l_tax, 1), 0.45) END AS ratio FROM lineitem")
+def stroke_ratio(spark, sf_dir):
+    return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", M.stroke_ratio(F.col("l_discount"), F.col("l_tax"), F.col("l_quantity")).alias("ratio"))
+
+
+@query("SELECT l_returnflag, round(avg(l_discount), 3) AS r, round(avg(l_tax), 3) AS g FROM lineitem GROUP BY l_returnflag")
+def region_color(spark, sf_dir):
+    rows = table(spark, sf_dir, "lineitem").withColumnsRenamed({"l_discount": "r", "l_tax": "g"})
+    return M.region_color(rows, ["l_returnflag"], ["r", "g"], 3)
+
+
+@query("SELECT p_brand, CAST(sum(p_size * 3) AS BIGINT) AS parameters FROM part GROUP BY p_brand")
+def parameter_total(spark, sf_dir):
+    shape = F.array(F.col("p_size"), F.lit(3))
+    return table(spark, sf_dir, "part").groupBy("p_brand").agg(M.parameter_count(shape).alias("parameters"))
+
+
+@query("SELECT event_type, round(count(*) / nullif(epoch(max(ts)) - epoch(min(ts)), 0), 9) AS rate FROM events GROUP BY event_type")
+def throughput(spark, sf_dir):
+    at = F.unix_micros(F.col("ts").cast("timestamp")) / F.lit(1e6)
+    return table(spark, sf_dir, "events").groupBy("event_type").agg(F.round(M.throughput(F.count("*"), F.max(at) - F.min(at)), 9).alias("rate"))
+
+
+@query("SELECT n_name AS name FROM nation UNION ALL SELECT r_name FROM region")
+def list_concat(spark, sf_dir):
+    return table(spark, sf_dir, "nation").select(F.col("n_name").alias("name")).unionByName(table(spark, sf_dir, "region").select(F.col("r_name").alias("name")))
+
+
+@query("SELECT event_id, event_id % 25 = 0 AS reports, event_id % 500 = 0 AS validates FROM events")
+def periodic_steps(spark, sf_dir):
+    return table(spark, sf_dir, "events").select("event_id", D.periodic(F.col("event_id"), 25).alias("reports"), D.periodic(F.col("event_id"), 500).alias("validates"))
+
+
+@query("""WITH s AS (SELECT p_partkey, p_brand, CASE p_partkey % 3 WHEN 0 THEN 'detector' WHEN 1 THEN 'recognizer' ELSE 'aligner' END AS kind, CAST(p_size AS VARCHAR) AS tier, CASE WHEN p_partkey % 2 = 0 THEN 'cj' ELSE '' END AS script FROM part),
+v AS (SELECT * FROM (VALUES ('', 2), ('quarter', 3)) AS t(variant, p))
+SELECT 'F_' || tier || '_det' || CASE WHEN variant = '' THEN '' ELSE '_quarter' END || '_int8.mnn' AS name, kind AS role, nullif(script, '') AS script, CAST(p AS INTEGER) AS priority, CASE WHEN variant = 'quarter' THEN 'stills only' END AS note FROM s, v WHERE kind = 'detector'
+UNION ALL SELECT CASE kind WHEN 'recognizer' THEN 'F_' || tier || '_rec_int8.mnn' ELSE p_brand || '_int8.mnn' END, kind, CASE WHEN kind = 'recognizer' THEN script ELSE nullif(script, '') END, 1, NULL FROM s WHERE kind <> 'detector'
+UNION ALL SELECT 'F_' || tier || '_keys.txt', 'keys', script, 1, NULL FROM s WHERE kind = 'recognizer'""")
+def manifest_rows(spark, sf_dir):
+    kind = F.element_at(F.array(F.lit("detector"), F.lit("recognizer"), F.lit("aligner")), (F.col("p_partkey") % 3 + 1).cast("int"))
+    specs = table(spark, sf_dir, "part").select(kind.alias("kind"), F.col("p_size").cast("string").alias("tier"), F.col("p_brand").alias("stem"), F.when(F.col("p_partkey") % 2 == 0, "cj").otherwise("").alias("script"), F.lit(None).cast("string").alias("note"))
+    return E.manifest_rows(E.with_variants(specs, ["quarter"]), "F", "stills only")
+
+
+@query("SELECT p_partkey, array_to_string(list_transform(string_split(p_type, ' '), lambda w: upper(w[1]) || lower(w[2:])), ' ') AS title, trim(p_type) AS stripped FROM part")
+def title_case(spark, sf_dir):
+    return table(spark, sf_dir, "part").select("p_partkey", X.title(F.col("p_type")).alias("title"), X.strip(F.concat(F.lit(" \n"), "p_type", F.lit("\t"))).alias("stripped"))
+
+
+@query("SELECT doc_id, regexp_matches(coalesce(text, ''), '\\p{M}') AS marked FROM documents")
+def unicode_marks(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", X.has_mark(F.coalesce("text", F.lit(""))).alias("marked"))
+
+
+@query("SELECT l_orderkey, l_linenumber, least(greatest(l_discount, 0.02), 0.08) AS clipped, round(sqrt(l_discount * l_discount + l_tax * l_tax), 9) AS norm, round(0.13 + 0.006 * greatest(0, 30 - l_quantity), 9) AS threshold FROM lineitem")
+def scalar_arithmetic(spark, sf_dir):
+    d, t = F.col("l_discount"), F.col("l_tax")
+    return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", N.clip(d, 0.02, 0.08).alias("clipped"), F.round(N.l2(d, t), 9).alias("norm"), F.round(N.contrast_threshold(F.col("l_quantity")), 9).alias("threshold"))
+
+
+@query("SELECT doc_id, coalesce(nullif(CASE WHEN doc_id % 3 = 0 THEN '' WHEN doc_id % 3 = 1 THEN lang END, ''), source) AS value FROM documents")
+def default_value(spark, sf_dir):
+    value = F.when(F.col("doc_id") % 3 == 0, "").when(F.col("doc_id") % 3 == 1, F.col("lang"))
+    return table(spark, sf_dir, "documents").select("doc_id", X.default(value, F.col("source"), empty_too=True).alias("value"))
+
+
+@query("SELECT s_suppkey, round(s_acctbal / sum(s_acctbal) OVER (), 9) AS share FROM supplier")
+def weight_share(spark, sf_dir):
+    rows = table(spark, sf_dir, "supplier")
+    total = rows.agg(F.sum("s_acctbal").alias("t"))
+    return rows.select("s_suppkey", F.round(F.col("s_acctbal") / total.scalar(), 9).alias("share"))
