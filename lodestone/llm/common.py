@@ -62,6 +62,15 @@ def held_out(doc_id: str | Column, folds: int = 5) -> Column:
     return F.coalesce(F.crc32(col.cast("string").cast("binary")) % folds == 0, F.lit(True))
 
 
+def split_join(rows: DataFrame, sums: DataFrame, *keys: str, how: str = "inner") -> DataFrame:
+    """rows with the columns of sums, an aggregate by the keys, which are never null.
+
+    Spark can split the rows of a hot key only if both sides are dealt out for the join itself. An aggregate by
+    the same keys is dealt out already; wrapping the keys in a struct has it dealt out anew, one row per key."""
+    rest = [c for c in sums.columns if c not in keys]
+    return rows.withColumn("__keys", F.struct(*keys)).join(sums.select(F.struct(*keys).alias("__keys"), *rest), "__keys", how).drop("__keys")
+
+
 def field(df: DataFrame, name: str, renamed: str | None = None) -> T.StructField:
     return T.StructField(renamed or name, df.schema[name].dataType, True)
 

@@ -5,38 +5,43 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, split_join
 
 
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, component) for every node of the edges; component is the smallest node reachable.
 
     Alternates large-star and small-star steps (Kiveris et al., 2014), which need about log(n) rounds, until
-    the edges stay the same. Every round is checkpointed; minima are pre-aggregated, and the joins on nodes
-    with many edges are such as Spark can split. Null and equal ends are no edges."""
-    now = cut(edges.select(F.col(a).alias("a"), F.col(b).alias("b")).filter("a != b").distinct())
-    mark = None
-    while True:
-        both = now.union(now.select("b", "a"))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
-        large = both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(least, "a").filter("b != m").select(F.col("b").alias("a"), F.col("m").alias("b")).union(least).distinct()
-        now = cut(small)
-        found = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if tuple(found) == mark:
-            break
-        mark = tuple(found)
+    the edges are stars around the smallest nodes. Edges are kept once, from the larger end a to the smaller b.
+    Every round is one checkpointed job; minima are pre-aggregated, and the join at the smaller ends, of which
+    one may have very many edges, is such as Spark can split. Null and equal ends are no edges."""
+    ends = edges.select(F.col(a).alias("a"), F.col(b).alias("b")).filter("a != b")
+    now = cut(ends.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+    while not _stars(now):
+        least = now.groupBy("a").agg(F.min("b").alias("m"))
+        # large star: what is above a node goes to that node's smallest neighbour
+        large = split_join(now.select(F.col("a").alias("above"), F.col("b").alias("a")), least, "a", how="left").select(F.col("above").alias("a"), F.coalesce("m", "a").alias("b"))
+        # small star: a node and all below it go to the smallest of them
+        small = large.withColumn("m", F.min("b").over(Window.partitionBy("a")))
+        pairs = F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b"))))
+        now = cut(small.select(pairs.alias("e")).select("e.*").filter("a != b").distinct())
     return now.select(F.col("a").alias("node"), F.col("b").alias("component")).union(now.select("b", "b").distinct())
 
 
+def _stars(edges: DataFrame) -> bool:
+    """Whether every larger end has one edge and none is a smaller end of another."""
+    ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("above"), F.lit(0).alias("below")).union(edges.select("b", F.lit(0), F.lit(1)))
+    sums = ends.groupBy("node").agg(F.sum("above").alias("above"), F.max("below").alias("below"))
+    return sums.filter("above > 1 or above = 1 and below = 1").isEmpty()
+
+
 def placed(members: DataFrame, block: int, group: str = "component", key: str = "node") -> DataFrame:
     """members with the number of blocks of their group (`blocks`) and their own block in it (`block`)."""
     sizes = members.groupBy(group).agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
-    return members.join(sizes, group).withColumn("block", F.pmod(F.xxhash64(key), F.col("blocks")).cast("int"))
+    return split_join(members, sizes, group).withColumn("block", F.pmod(F.xxhash64(key), F.col("blocks")).cast("int"))
 
 
 def by_group(rows: DataFrame, keys: list[str], run: Callable[[pa.Table], Iterator[pa.RecordBatch]], schema: str, partitions: int) -> DataFrame:

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import bounded_batches, cut, field, fresh
+from .common import bounded_batches, cut, field, fresh, split_join
 from .components import by_cell, connected_components, forest, placed
 from .decontam import words
 
@@ -170,7 +170,7 @@ def shared(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.nd
 
 
 def verify(threshold: float):
-    """For by_cell: (key, links, other): how many documents each class of the cell links to, and forest edges."""
+    """For by_cell: (node, links, other): how many documents each class of the cell links to, and forest edges."""
 
     def run(cell: pa.Table):
         i, j = cell["__i"][0].as_py(), cell["__j"][0].as_py()
@@ -191,7 +191,7 @@ def verify(threshold: float):
         a, b = np.nonzero(linked)
         rows = [(keys[k], int(links[k]), None) for k in np.flatnonzero(links)]
         rows += [(keys[x], 0, keys[y]) for x, y in forest(len(keys), left[a], right[b])]
-        yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.binary()), pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.binary())], ["key", "links", "other"])
+        yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], pa.int64()) for k in range(3)], ["node", "links", "other"])
 
     return run
 
@@ -202,21 +202,22 @@ def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size:
     bands, rows = banding(threshold, recall, rows)
     signed = signatures(docs, id_col, text_col, size, bands, rows)
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "jid", "jhash"))
-    classes = cut(signed.filter("key is not null").groupBy("key").agg(first.alias("first"), F.count("*").alias("n"), F.any_value("bands").alias("bands")))
-    met = classes.select("key", F.posexplode("bands").alias("band", "hash")).select("key", F.xxhash64("band", "hash").alias("bucket"))
-    hubs = met.groupBy("bucket").agg(F.min("key").alias("hub"), F.max("key").alias("last")).filter("hub != last").select("bucket", "hub")
-    candidates = connected_components(met.join(hubs, "bucket").filter("key != hub"), "key", "hub")
-    group = cut(placed(candidates, block).join(classes.select(F.col("key").alias("node"), "n", "first.jid", "first.jhash"), "node"))
+    classes = signed.filter("key is not null").groupBy("key").agg(first.alias("first"), F.count("*").alias("n"), F.any_value("bands").alias("bands"))
+    classes = cut(classes.withColumn("node", F.monotonically_increasing_id()))  # read again, the numbers stay
+    met = classes.select("node", F.posexplode("bands").alias("band", "hash")).select("node", F.xxhash64("band", "hash").alias("bucket"))
+    hubs = met.groupBy("bucket").agg(F.min("node").alias("hub"), F.max("node").alias("last")).filter("hub != last").select("bucket", "hub")
+    candidates = connected_components(split_join(met, hubs, "bucket").filter("node != hub"), "node", "hub")
+    group = cut(placed(candidates, block).join(classes.select("node", "key", "n", "first.jid", "first.jhash"), "node"))
     partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    sets = full_sets(docs, group.select("jid", "jhash"), id_col, text_col, size).withColumnRenamed("key", "node")
-    sets = sets.groupBy("node").agg(F.any_value("grams").alias("grams"))  # repeated rows name the same set
-    cells = by_cell(group.drop("jid", "jhash").join(sets, "node"), verify(threshold), "key binary, links long, other binary", partitions)
+    sets = full_sets(docs, group.select("jid", "jhash"), id_col, text_col, size)
+    sets = sets.groupBy("key").agg(F.any_value("grams").alias("grams"))  # repeated rows name the same set
+    cells = by_cell(group.drop("jid", "jhash").join(sets, "key").drop("key"), verify(threshold), "node long, links long, other long", partitions)
     checked = cut(cells)
-    near = connected_components(checked.filter("other is not null"), "key", "other").withColumnRenamed("node", "key")
-    more = checked.groupBy("key").agg(F.sum("links").alias("more"))
-    joined = classes.drop("bands").join(near, "key", "left").join(more, "key", "left").withColumn("component", F.coalesce("component", "key"))
+    near = connected_components(checked.filter("other is not null"), "node", "other")
+    more = checked.groupBy("node").agg(F.sum("links").alias("more"))
+    joined = classes.drop("bands").join(near, "node", "left").join(more, "node", "left").withColumn("component", F.coalesce("component", "node"))
     tops = joined.groupBy("component").agg(F.min("first").alias("top"))
-    per_class = joined.join(tops, "component").select("key", "first", "top", (F.col("n") - 1 + F.coalesce("more", F.lit(0))).alias("n_links"))
+    per_class = split_join(joined, tops, "component").select("key", "first", "top", (F.col("n") - 1 + F.coalesce("more", F.lit(0))).alias("n_links"))
     out = signed.drop("bands").join(per_class, "key", "left")
     alone = F.col("key").isNull()
     return out.select(

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import bounded_batches, cut, field
+from .common import bounded_batches, cut, field, split_join
 from .components import by_cell, by_group, connected_components, placed
 
 THRESHOLD, NEIGHBOURS, LARGEST, REVERSE, TABLES, BUCKET, ROUNDS, SETTLED = 0.93, 10, 40, 10, 8, 200, 4, 0.01
@@ -84,11 +84,11 @@ def start(points: DataFrame, partitions: int, most: int) -> DataFrame:
     """First neighbours: the best of each node in the blocks of its buckets, for every table."""
     sizes = points.groupBy("label", "width").agg(F.count("*").alias("size"))
     bits = F.least(F.lit(16), F.greatest(F.lit(0), F.ceil(F.log2(F.col("size") / BUCKET)))).cast("int")
-    flat = points.join(sizes, ["label", "width"]).select("nid", "label", "width", F.posexplode("signs").alias("t", "sign"), bits.alias("bits"))
+    flat = split_join(points, sizes, "label", "width").select("nid", "label", "width", F.posexplode("signs").alias("t", "sign"), bits.alias("bits"))
     flat = flat.withColumn("bucket", F.pmod(F.col("sign"), F.expr("shiftleft(1, bits)")))
     keys = ["label", "width", "t", "bucket"]
     counts = flat.groupBy(*keys).agg(F.ceil(F.count("*") / (2 * BUCKET)).cast("int").alias("blocks"))
-    dealt = flat.join(counts, keys).withColumn("block", F.pmod(F.xxhash64("nid", "t"), F.col("blocks")).cast("int")).select("nid", *keys, "block")
+    dealt = split_join(flat, counts, *keys).withColumn("block", F.pmod(F.xxhash64("nid", "t"), F.col("blocks")).cast("int")).select("nid", *keys, "block")
 
     def run(group: pa.Table):
         if len(group) < 2:
@@ -208,7 +208,7 @@ def links(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embeddi
     group = placed(component, block).join(points.select(F.col("nid").alias("node"), "n", "vec", "least"), "node")
     more = by_cell(group, count_links(threshold), "node long, links long", partitions).groupBy("node").agg(F.sum("links").alias("more"))
     tops = group.groupBy("component").agg(F.min("least").alias("top"))
-    linked = group.select("node", "component").join(tops, "component").join(more, "node").select(F.col("node").alias("nid"), "top", "more")
+    linked = split_join(group.select("node", "component"), tops, "component").join(more, "node").select(F.col("node").alias("nid"), "top", "more")
     known = points.select("nid", "key", "n", "least").join(linked, "nid", "left")
     out = rows.join(known, "key", "left")
     component_id = F.coalesce("top", "least", "vec_id")
