@@ -37,3 +37,20 @@ def test_empty(spark):
 
 def test_forest():
     assert len(forest(4, [0, 1, 0], [1, 2, 2])) == 2
+
+
+def test_split_join_deals_the_aggregate_out_anew(spark):
+    from pyspark.sql import functions as F
+
+    from lodestone.llm.common import split_join
+
+    rows = spark.range(100).select((F.col("id") % 7).alias("k"), "id")
+    sums = rows.groupBy("k").agg(F.max("id").alias("m"))
+    out = split_join(rows, sums, "k")
+    assert out.columns == ["k", "id", "m"] and out.count() == 100 and out.filter("m % 7 != k").count() == 0
+    kept = split_join(rows, sums.filter("k < 3"), "k", how="left")
+    assert kept.count() == 100 and kept.filter("m is null and k >= 3").count() == kept.filter("k >= 3").count()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    plan = split_join(rows, sums, "k")._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("ENSURE_REQUIREMENTS") == 3
