@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: Rows and bytes of one Arrow batch handed to a Python worker.
-BATCH_ROWS, BATCH_BYTES = "1000", "16m"
+BATCH_ROWS, BATCH_BYTES = "500", "8m"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
