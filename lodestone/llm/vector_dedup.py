@@ -1,11 +1,13 @@
 """Near duplicates of embeddings by NN-descent, compared within equal labels only.
 
 Equal vectors of a label become one node first. The neighbour graph starts from random hyperplane buckets, cut
-to blocks of bounded size. Then, round by round, each node brings its neighbours and reverse neighbours together
+to blocks of bounded size; the mean of a label is taken off its unit vectors before. Then, round by round, each node brings its neighbours and reverse neighbours together
 (neighbours of neighbours), and every one of them that finds a nearer neighbour there takes it into its list.
 A list that is full of links is saturated and is enlarged, up to LARGEST. Rounds end when hardly any list
-changes; then the recall is audited by brute force on AUDITED nodes against all, and while it is below the
-target further rounds follow. Edges with a cosine of the threshold or more, in double precision, are links.
+changes; then the recall is audited: nodes are compared with all others, and the mean over those that have
+links of the share found must reach the target, once among nodes of components of more than NEIGHBOURS nodes
+and once among all other nodes. Each of the two samples begins with about AUDITED nodes and grows until ENOUGH
+of them have links, or to all. While the recall is below the target further rounds follow. Edges with a cosine of the threshold or more, in double precision, are links.
 
 Lists are bounded, links are not: in each component of links all pairs are then counted exactly, block against
 block inside of tasks, so groups larger than any list keep all their links.
@@ -20,7 +22,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Row, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,7 +30,8 @@ from .common import bounded_batches, cut, field, split_join
 from .components import by_cell, by_group, connected_components, placed
 
 THRESHOLD, NEIGHBOURS, LARGEST, REVERSE, TABLES, BUCKET, ROUNDS, SETTLED = 0.93, 10, 40, 10, 8, 200, 4, 0.01
-BLOCK, AUDITED, RECALL, SEED = 1024, 256, 0.97, 7
+BLOCK, AUDITED, ENOUGH, RECALL, SEED = 1024, 256, 128, 0.97, 7
+SENT_BYTES, SLICE = 16_000_000, 4096  # of audited vectors sent at once, and compared with a batch at once
 
 
 def directions(width: int, count: int) -> np.ndarray:
@@ -37,34 +40,32 @@ def directions(width: int, count: int) -> np.ndarray:
 
 def nodes(vectors: DataFrame, id_col: str, vector_col: str, label_col: str) -> tuple[DataFrame, DataFrame]:
     """Rows as (vec_id, key), key null for those that link with nothing; and the nodes (nid, key, label, width,
-    n, least, vec, signs), one for each different vector of a label."""
+    n, least, vec), one for each different vector of a label."""
 
     def run(batches):
         import xxhash
 
         for batch in batches:
-            keys, widths, vecs, signs = [], [], [], []
+            keys, widths, vecs = [], [], []
             for vec_id, label, vec in zip(*(x.to_pylist() for x in batch.columns), strict=True):
                 ok = vec_id is not None and label is not None and vec and None not in vec
                 x = np.asarray(vec, np.float64) if ok else np.zeros(0)
                 with np.errstate(over="ignore"):
                     norm = float(np.sqrt((x * x).sum()))
                 if not ok or not np.isfinite(x).all() or not 0 < norm < np.inf:
-                    for out in (keys, widths, vecs, signs):
+                    for out in (keys, widths, vecs):
                         out.append(None)
                     continue
                 raw = (x + 0.0).tobytes()
                 keys.append(xxhash.xxh3_128_digest(raw + str(label).encode()))
                 widths.append(len(x))
                 vecs.append(raw)
-                bits = (x / norm) @ directions(len(x), TABLES * 16) > 0
-                signs.append((bits.reshape(TABLES, 16) @ (1 << np.arange(16))).tolist())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.binary()), batch.column(1), pa.array(widths, pa.int32()), pa.array(vecs, pa.binary()), pa.array(signs, pa.list_(pa.int32()))], ["vec_id", "key", "label", "width", "vec", "signs"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.binary()), batch.column(1), pa.array(widths, pa.int32()), pa.array(vecs, pa.binary())], ["vec_id", "key", "label", "width", "vec"])
 
     bounded_batches(vectors.sparkSession)
-    schema = T.StructType([field(vectors, id_col, "vec_id"), T.StructField("key", T.BinaryType()), T.StructField("label", T.StringType()), T.StructField("width", T.IntegerType()), T.StructField("vec", T.BinaryType()), T.StructField("signs", T.ArrayType(T.IntegerType()))])
+    schema = T.StructType([field(vectors, id_col, "vec_id"), T.StructField("key", T.BinaryType()), T.StructField("label", T.StringType()), T.StructField("width", T.IntegerType()), T.StructField("vec", T.BinaryType())])
     read = cut(vectors.select(F.col(id_col).alias("vec_id"), F.col(label_col).cast("string").alias("label"), F.col(vector_col).alias("vec")).mapInArrow(run, schema))
-    groups = read.filter("key is not null").groupBy("key").agg(F.min("vec_id").alias("least"), F.count("*").alias("n"), *[F.any_value(x).alias(x) for x in ("label", "width", "vec", "signs")])
+    groups = read.filter("key is not null").groupBy("key").agg(F.min("vec_id").alias("least"), F.count("*").alias("n"), *[F.any_value(x).alias(x) for x in ("label", "width", "vec")])
     return read.select("vec_id", "key"), cut(groups.withColumn("nid", F.monotonically_increasing_id()))
 
 
@@ -80,11 +81,66 @@ def edges_of(nodes_: list[int], others: list[int], sims: list[float]) -> pa.Reco
     return pa.RecordBatch.from_arrays([pa.array(nodes_, pa.int64()), pa.array(others, pa.int64()), pa.array(sims, pa.float64())], ["node", "other", "sim"])
 
 
+SUMS = "label string, width int, size long, total binary"
+
+
+def sums(points: DataFrame, partitions: int) -> DataFrame:
+    """(label, width, size, total): number and sum of the unit vectors of each label."""
+
+    def batch_of(held: dict[tuple, tuple]) -> pa.RecordBatch:
+        columns = zip(*((*group, n, total.tobytes()) for group, (n, total) in held.items()), strict=True)
+        return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(columns, (pa.string(), pa.int32(), pa.int64(), pa.binary()), strict=True)], ["label", "width", "size", "total"])
+
+    def parts(batches):
+        held: dict[tuple, tuple] = {}
+        for batch in batches:
+            labels, widths, vecs = (x.to_pylist() for x in batch.columns)
+            for group, at in places_of(labels, widths).items():
+                n, total = held.get(group, (0, np.zeros(group[1])))
+                held[group] = n + len(at), total + unit([vecs[k] for k in at]).sum(0)
+            if len(held) > 1000:
+                yield batch_of(held)
+                held = {}
+        if held:
+            yield batch_of(held)
+
+    def whole(group: pa.Table):
+        total = np.array([np.frombuffer(x, np.float64) for x in group["total"].to_pylist()]).sum(0)
+        yield batch_of({(group["label"][0].as_py(), group["width"][0].as_py()): (sum(group["size"].to_pylist()), total)})
+
+    return by_group(points.select("label", "width", "vec").mapInArrow(parts, SUMS), ["label", "width"], whole, SUMS, partitions)
+
+
+def places_of(*columns: list) -> dict[tuple, list[int]]:
+    """The places of equal rows of the columns."""
+    out: dict[tuple, list[int]] = {}
+    for k, row in enumerate(zip(*columns, strict=True)):
+        out.setdefault(row, []).append(k)
+    return out
+
+
+def signed(points: DataFrame, partitions: int) -> DataFrame:
+    """(nid, label, width, size, signs): hyperplane signs of the vectors without the mean of their label."""
+
+    def run(batches):
+        for batch in batches:
+            signs: list = [None] * batch.num_rows
+            widths, sizes, totals, vecs = (batch.column(k).to_pylist() for k in range(2, 6))
+            for (width,), at in places_of(widths).items():
+                mean = np.array([np.frombuffer(totals[k], np.float64) / sizes[k] for k in at])
+                bits = (unit([vecs[k] for k in at]) - mean) @ directions(width, TABLES * 16) > 0
+                for k, row in zip(at, (bits.reshape(-1, TABLES, 16) @ (1 << np.arange(16))).tolist(), strict=True):
+                    signs[k] = row
+            yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(signs, pa.list_(pa.int32()))], ["nid", "label", "width", "size", "signs"])
+
+    rows = split_join(points.select("nid", "label", "width", "vec"), sums(points, partitions), "label", "width")
+    return rows.select("nid", "label", "width", "size", "total", "vec").mapInArrow(run, "nid long, label string, width int, size long, signs array<int>")
+
+
 def start(points: DataFrame, partitions: int, most: int) -> DataFrame:
     """First neighbours: the best of each node in the blocks of its buckets, for every table."""
-    sizes = points.groupBy("label", "width").agg(F.count("*").alias("size"))
     bits = F.least(F.lit(16), F.greatest(F.lit(0), F.ceil(F.log2(F.col("size") / BUCKET)))).cast("int")
-    flat = split_join(points, sizes, "label", "width").select("nid", "label", "width", F.posexplode("signs").alias("t", "sign"), bits.alias("bits"))
+    flat = cut(signed(points, partitions)).select("nid", "label", "width", F.posexplode("signs").alias("t", "sign"), bits.alias("bits"))
     flat = flat.withColumn("bucket", F.pmod(F.col("sign"), F.expr("shiftleft(1, bits)")))
     keys = ["label", "width", "t", "bucket"]
     counts = flat.groupBy(*keys).agg(F.ceil(F.count("*") / (2 * BUCKET)).cast("int").alias("blocks"))
@@ -136,32 +192,59 @@ def step(graph: DataFrame, points: DataFrame, partitions: int, neighbours: int,
     return by_group(rows, ["node"], run, EDGES, partitions)
 
 
-def audit(points: DataFrame, component: DataFrame, threshold: float, audited: int = AUDITED) -> float:
-    """Share of the true links of a sample of nodes, found by brute force over all nodes, that the components hold."""
-    sample = points.orderBy(F.xxhash64("key"), "nid").limit(audited).select("nid", "label", "width", "vec").collect()
-    by: dict[tuple, list] = {}
-    for r in sample:
-        by.setdefault((r.label, r.width), []).append(r)
-    sent = points.sparkSession.sparkContext.broadcast({k: (np.array([r.nid for r in v]), unit([bytes(r.vec) for r in v])) for k, v in by.items()})  # AUDITED vectors
+def members(points: DataFrame, component: DataFrame, most: int) -> DataFrame:
+    """The nodes with their component (themselves where there is none), whether it is large, that is of more than
+    `most` nodes, and their place between 0 and 1 in the order of audits."""
+    sizes = component.groupBy("component").agg(F.count("*").alias("size"))
+    known = split_join(component, sizes, "component").select(F.col("node").alias("nid"), "component", (F.col("size") > most).alias("large"))
+    place = F.xxhash64("key") / float(2**64) + 0.5
+    return cut(points.join(known, "nid", "left").select("nid", "label", "width", "vec", F.coalesce("component", "nid").alias("component"), F.coalesce("large", F.lit(False)).alias("large"), place.alias("place")))
+
+
+def compared(nodes_: DataFrame, sample: list[Row], threshold: float) -> DataFrame:
+    """(node, links, held): the true links of each sampled node, by brute force over all, and how many of them
+    lie in its component."""
+    by = places_of([r.label for r in sample], [r.width for r in sample])
+    column = lambda at, name: np.array([sample[k][name] for k in at])
+    sent = nodes_.sparkSession.sparkContext.broadcast({group: (column(at, "nid"), column(at, "component"), unit([bytes(sample[k].vec) for k in at])) for group, at in by.items()})  # SENT_BYTES of vectors
 
     def run(batches):
+        counts = {group: np.zeros((2, len(names)), np.int64) for group, (names, _, _) in sent.value.items()}
         for batch in batches:
-            ids, labels, widths, vecs = (batch.column(k).to_pylist() for k in range(4))
-            rows: dict[tuple, list[int]] = {}
-            for k, group in enumerate(zip(labels, widths, strict=True)):
-                if group in sent.value:
-                    rows.setdefault(group, []).append(k)
-            for group, at in rows.items():
-                names, x = sent.value[group]
-                mine = np.array(ids)[at]
-                a, b = np.nonzero(unit([vecs[k] for k in at]) @ x.T >= threshold)
-                apart = mine[a] != names[b]
-                yield edges_of(mine[a][apart], names[b][apart], np.ones(int(apart.sum())))
-
-    true = points.select("nid", "label", "width", "vec").mapInArrow(run, EDGES)
-    of = lambda x: component.select(F.col("node").alias(x), F.col("component").alias(f"{x}_in"))
-    row = true.join(of("node"), "node", "left").join(of("other"), "other", "left").agg(F.count("*"), F.count_if(F.col("node_in") == F.col("other_in"))).first()
-    return row[1] / row[0] if row[0] else 1.0
+            ids, labels, widths, vecs, tops = (x.to_pylist() for x in batch.columns)
+            for group, at in places_of(labels, widths).items():
+                if group not in counts:
+                    continue
+                names, parts, x = sent.value[group]
+                mine, top, y = np.array(ids)[at], np.array(tops)[at], unit([vecs[k] for k in at])
+                for k in range(0, len(names), SLICE):
+                    a, b = np.nonzero(y @ x[k : k + SLICE].T >= threshold)
+                    b += k
+                    apart = mine[a] != names[b]
+                    a, b = a[apart], b[apart]
+                    same = top[a] == parts[b]
+                    counts[group] += [np.bincount(b, minlength=len(names)), np.bincount(b[same], minlength=len(names))]
+        for group, (links_, held) in counts.items():
+            some = links_ > 0
+            yield pa.RecordBatch.from_arrays([pa.array(x[some], pa.int64()) for x in (sent.value[group][0], links_, held)], ["node", "links", "held"])
+
+    return nodes_.select("nid", "label", "width", "vec", "component").mapInArrow(run, "node long, links long, held long")
+
+
+def audit(nodes_: DataFrame, large: bool, threshold: float, audited: int = AUDITED, enough: int = ENOUGH) -> float:
+    """Mean over the nodes with links of the share of these that their components hold, from nodes of large
+    components or from the others. The sample grows until `enough` of its nodes have links, or to all nodes."""
+    those = nodes_.filter(F.col("large") == large)
+    size, width = those.agg(F.count("*"), F.max("width")).first()
+    most = max(1, SENT_BYTES // (8 * width)) if size else 1
+    low, linked, total = 0.0, 0, 0.0
+    while size and low < 1 and linked < enough:
+        high = low + min(audited, most) / size
+        high = 1.0 if high > 0.9 and (1 - low) * size <= most else min(1.0, high)
+        sample = those.filter((F.col("place") >= low) & ((F.col("place") < high) | F.lit(high == 1))).collect()
+        n, shares = compared(nodes_, sample, threshold).groupBy("node").agg((F.sum("held") / F.sum("links")).alias("share")).agg(F.count("*"), F.sum("share")).first()
+        low, linked, total, audited = high, linked + n, total + (shares or 0.0), 4 * audited
+    return total / linked if linked else 1.0
 
 
 def count_links(threshold: float):
@@ -192,7 +275,7 @@ def links(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embeddi
     rows, points = nodes(vectors, id_col, vector_col, label_col)
     first = start(points, partitions, max(2, neighbours // 2)).withColumn("new", F.lit(True))
     graph = cut(nearest(first, neighbours, largest, threshold))
-    size, done = points.count(), 0
+    size, done, small = points.count(), 0, neighbours
     while True:
         for _ in range(rounds):
             found = step(graph, points, partitions, neighbours, largest, reverse, threshold).withColumn("new", F.lit(True))
@@ -201,7 +284,8 @@ def links(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embeddi
             if graph.filter("new").count() < SETTLED * size * neighbours:
                 break
         component = cut(connected_components(graph.filter(F.col("sim") >= threshold), "node", "other"))
-        if done >= 3 * rounds or audit(points, component, threshold) >= recall:
+        placed_in = members(points, component, small)
+        if done >= 3 * rounds or all(audit(placed_in, large, threshold) >= recall for large in (False, True)):
             break
         neighbours, largest, reverse = 2 * neighbours, 2 * largest, 2 * reverse
         graph = graph.withColumn("new", F.lit(True))

@@ -77,3 +77,46 @@ def test_recall_on_a_table(spark):
     n = (x @ x.T >= 0.93).sum(1) - 1
     assert sum(r.n_links for r in got.values()) >= 0.9 * n.sum()
     assert all(got[r[0]].n_links <= n[k] for k, r in enumerate(rows))
+
+
+def hide(monkeypatch, start_of, rounds):
+    """The first graph holds only what start_of(vector) says, and the first rounds add nothing."""
+    first, step, calls = V.start, V.step, []
+
+    def start(points, *rest):
+        seen = [r.nid for r in points.select("nid", "vec").collect() if start_of(np.frombuffer(r.vec))]
+        return first(points, *rest).filter(F.col("node").isin(seen) & F.col("other").isin(seen))
+
+    def late(graph, points, *rest):
+        calls.append(1)
+        found = step(graph, points, *rest)
+        return found.limit(0) if len(calls) <= rounds else found
+
+    monkeypatch.setattr(V, "start", start)
+    monkeypatch.setattr(V, "step", late)
+    return calls
+
+
+def test_pairs_beside_a_large_group_are_audited(spark, monkeypatch):
+    rows = clusters(3, [(130, 0)] + [(2, 0)] * 20)
+    by = {}
+    for vec_id, v, _ in rows:
+        by[vec_id] = np.array(v) / np.linalg.norm(v)
+    x = np.array(list(by.values()))
+    center = x[(x @ x.T >= 0.93).sum(1).argmax()]
+    hide(monkeypatch, lambda v: v @ center / np.linalg.norm(v) >= 0.8, 99)
+    audits = []
+    audit = V.audit
+    monkeypatch.setattr(V, "audit", lambda *rest: audits.append(audit(*rest)) or audits[-1])
+    V.links(frame(spark, rows), neighbours=6, largest=12, reverse=6, rounds=1, block=32)
+    assert audits[0] < 0.1
+
+
+def test_signs_without_the_mean(spark):
+    rng = np.random.default_rng(1)
+    rows = [(k, (5 + rng.standard_normal(16)).tolist(), 0) for k in range(400)]
+    _, points = V.nodes(frame(spark, rows), "vec_id", "embedding", "label")
+    signs = np.array([r.signs for r in V.signed(points, 4).collect()])
+    bits = (signs[:, :, None] >> np.arange(16)) & 1
+    share = bits.reshape(400, -1).mean(0)
+    assert 0.3 < share.min() and share.max() < 0.7
