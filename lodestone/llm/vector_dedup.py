@@ -7,7 +7,10 @@ A list that is full of links is saturated and is enlarged, up to LARGEST. Rounds
 changes; then the recall is audited: nodes are compared with all others, and the mean over those that have
 links of the share found must reach the target, once among nodes of components of more than NEIGHBOURS nodes
 and once among all other nodes. Each of the two samples begins with about AUDITED nodes and grows until ENOUGH
-of them have links, or to all. While the recall is below the target further rounds follow. Edges with a cosine of the threshold or more, in double precision, are links.
+of them have links, or to all. While the recall is below the target further rounds follow, and the next audit
+takes other nodes; all links that an audit sees are kept. After 3 times ROUNDS rounds the nodes of a sample that
+still misses the target are compared with all others, to the last one: so no state is returned that has not met
+the target, but that last way costs a product for each pair of such a node and a node of its label. Edges with a cosine of the threshold or more, in double precision, are links.
 
 Lists are bounded, links are not: in each component of links all pairs are then counted exactly, block against
 block inside of tasks, so groups larger than any list keep all their links.
@@ -27,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import bounded_batches, cut, field, split_join
-from .components import by_cell, by_group, connected_components, placed
+from .components import by_cell, by_group, connected_components, forest, placed
 
 THRESHOLD, NEIGHBOURS, LARGEST, REVERSE, TABLES, BUCKET, ROUNDS, SETTLED = 0.93, 10, 40, 10, 8, 200, 4, 0.01
 BLOCK, AUDITED, ENOUGH, RECALL, SEED = 1024, 256, 128, 0.97, 7
@@ -192,18 +195,29 @@ def step(graph: DataFrame, points: DataFrame, partitions: int, neighbours: int,
     return by_group(rows, ["node"], run, EDGES, partitions)
 
 
-def members(points: DataFrame, component: DataFrame, most: int) -> DataFrame:
+def members(points: DataFrame, component: DataFrame, most: int, order: int = 0, seen: DataFrame | None = None) -> DataFrame:
     """The nodes with their component (themselves where there is none), whether it is large, that is of more than
-    `most` nodes, and their place between 0 and 1 in the order of audits."""
+    `most` nodes, whether they were compared with all before (seen: nid, seen), and their place between 0 and 1 in
+    the order of this audit."""
     sizes = component.groupBy("component").agg(F.count("*").alias("size"))
     known = split_join(component, sizes, "component").select(F.col("node").alias("nid"), "component", (F.col("size") > most).alias("large"))
-    place = F.xxhash64("key") / float(2**64) + 0.5
-    return cut(points.join(known, "nid", "left").select("nid", "label", "width", "vec", F.coalesce("component", "nid").alias("component"), F.coalesce("large", F.lit(False)).alias("large"), place.alias("place")))
+    rows = points.join(known, "nid", "left")
+    rows = rows.withColumn("seen", F.lit(False)) if seen is None else rows.join(seen, "nid")
+    place = F.xxhash64("key", F.lit(order)) / float(2**64) + 0.5
+    return cut(rows.select("seen", "nid", "label", "width", "vec", F.coalesce("component", "nid").alias("component"), F.coalesce("large", F.lit(False)).alias("large"), place.alias("place")))
+
+
+COMPARED = "node long, other long, links long, held long"
+
+
+def missing_of(nodes_: np.ndarray, others: np.ndarray) -> pa.RecordBatch:
+    none = pa.nulls(len(nodes_), pa.int64())
+    return pa.RecordBatch.from_arrays([pa.array(nodes_, pa.int64()), pa.array(others, pa.int64()), none, none], COMPARED.replace(" long", "").split(", "))
 
 
 def compared(nodes_: DataFrame, sample: list[Row], threshold: float) -> DataFrame:
-    """(node, links, held): the true links of each sampled node, by brute force over all, and how many of them
-    lie in its component."""
+    """By brute force of the sampled nodes over all: (node, links, held), the number of true links of each, and how
+    many of them lie in its component; and (node, other), links that tie the components of the others together."""
     by = places_of([r.label for r in sample], [r.width for r in sample])
     column = lambda at, name: np.array([sample[k][name] for k in at])
     sent = nodes_.sparkSession.sparkContext.broadcast({group: (column(at, "nid"), column(at, "component"), unit([bytes(sample[k].vec) for k in at])) for group, at in by.items()})  # SENT_BYTES of vectors
@@ -223,28 +237,41 @@ def compared(nodes_: DataFrame, sample: list[Row], threshold: float) -> DataFram
                     apart = mine[a] != names[b]
                     a, b = a[apart], b[apart]
                     same = top[a] == parts[b]
+                    if not same.all():
+                        ends, at_ends = np.unique([top[a[~same]], parts[b[~same]]], return_inverse=True)
+                        pairs = np.unique(at_ends.reshape(2, -1), axis=1)
+                        tied = np.array(forest(len(ends), *pairs))
+                        yield missing_of(ends[tied[:, 0]], ends[tied[:, 1]])
                     counts[group] += [np.bincount(b, minlength=len(names)), np.bincount(b[same], minlength=len(names))]
         for group, (links_, held) in counts.items():
             some = links_ > 0
-            yield pa.RecordBatch.from_arrays([pa.array(x[some], pa.int64()) for x in (sent.value[group][0], links_, held)], ["node", "links", "held"])
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (sent.value[group][0][some], [None] * int(some.sum()), links_[some], held[some])], COMPARED.replace(" long", "").split(", "))
 
-    return nodes_.select("nid", "label", "width", "vec", "component").mapInArrow(run, "node long, links long, held long")
+    return cut(nodes_.select("nid", "label", "width", "vec", "component").mapInArrow(run, COMPARED))
 
 
-def audit(nodes_: DataFrame, large: bool, threshold: float, audited: int = AUDITED, enough: int = ENOUGH) -> float:
+def audit(nodes_: DataFrame, large: bool, threshold: float, low: float = 0.0, whole: bool = False, audited: int = AUDITED, enough: int = ENOUGH) -> tuple[float, float, list[DataFrame]]:
     """Mean over the nodes with links of the share of these that their components hold, from nodes of large
-    components or from the others. The sample grows until `enough` of its nodes have links, or to all nodes."""
-    those = nodes_.filter(F.col("large") == large)
+    components or from the others, not seen before, at places from low on. The sample grows until `enough` of its
+    nodes have links, or to all nodes, as it does if whole. Also the place where it ends, and the missing links
+    found, as pairs of components."""
+    those = nodes_.filter((F.col("large") == large) & ~F.col("seen"))
     size, width = those.agg(F.count("*"), F.max("width")).first()
-    most = max(1, SENT_BYTES // (8 * width)) if size else 1
-    low, linked, total = 0.0, 0, 0.0
-    while size and low < 1 and linked < enough:
-        high = low + min(audited, most) / size
-        high = 1.0 if high > 0.9 and (1 - low) * size <= most else min(1.0, high)
+    if not size:
+        return 1.0, 1.0, []
+    most = max(1, SENT_BYTES // (8 * width))
+    linked, total, missing = 0, 0.0, []
+    while low < 1 and (whole or linked < enough):
+        step_ = min(most if whole else audited, most)
+        high = 1.0 if (1 - low) * size <= step_ else low + step_ / size
         sample = those.filter((F.col("place") >= low) & ((F.col("place") < high) | F.lit(high == 1))).collect()
-        n, shares = compared(nodes_, sample, threshold).groupBy("node").agg((F.sum("held") / F.sum("links")).alias("share")).agg(F.count("*"), F.sum("share")).first()
+        found = compared(nodes_, sample, threshold)
+        by_node = found.groupBy("node").agg((F.sum("held") / F.sum("links")).alias("share"), F.count("other").alias("apart"))
+        n, shares, apart = by_node.agg(F.count("share"), F.sum("share"), F.sum("apart")).first()
+        if apart:
+            missing.append(found.filter("other is not null").select("node", "other").distinct())
         low, linked, total, audited = high, linked + n, total + (shares or 0.0), 4 * audited
-    return total / linked if linked else 1.0
+    return total / linked if linked else 1.0, low, missing
 
 
 def count_links(threshold: float):
@@ -269,6 +296,13 @@ def count_links(threshold: float):
     return run
 
 
+def joined(pairs: DataFrame, more: list[DataFrame]) -> DataFrame:
+    """(node, component) of the pairs, whatever their names, together with more."""
+    for x in more:
+        pairs = pairs.union(x)
+    return cut(connected_components(pairs, *pairs.columns))
+
+
 def links(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label", threshold: float = THRESHOLD, neighbours: int = NEIGHBOURS, largest: int = LARGEST, reverse: int = REVERSE, rounds: int = ROUNDS, recall: float = RECALL, block: int = BLOCK) -> DataFrame:
     """(vec_id, n_links, component_id, kept) of every row."""
     partitions = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -276,6 +310,7 @@ def links(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embeddi
     first = start(points, partitions, max(2, neighbours // 2)).withColumn("new", F.lit(True))
     graph = cut(nearest(first, neighbours, largest, threshold))
     size, done, small = points.count(), 0, neighbours
+    component, seen = None, None
     while True:
         for _ in range(rounds):
             found = step(graph, points, partitions, neighbours, largest, reverse, threshold).withColumn("new", F.lit(True))
@@ -283,9 +318,21 @@ def links(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embeddi
             done += 1
             if graph.filter("new").count() < SETTLED * size * neighbours:
                 break
-        component = cut(connected_components(graph.filter(F.col("sim") >= threshold), "node", "other"))
-        placed_in = members(points, component, small)
-        if done >= 3 * rounds or all(audit(placed_in, large, threshold) >= recall for large in (False, True)):
+        near = graph.filter(F.col("sim") >= threshold).select("node", "other")
+        # what an audit has seen stays linked
+        component = joined(near, [] if component is None else [component])
+        checked, met, missing, ends = members(points, component, small, done, seen), True, [], {}
+        for large in (False, True):
+            share, ends[large], more = audit(checked, large, threshold)
+            missing += more
+            if share < recall and ends[large] < 1 and done >= 3 * rounds:
+                _, ends[large], more = audit(checked, large, threshold, ends[large], whole=True)
+                missing += more
+            met &= share >= recall or ends[large] == 1
+        seen = checked.select("nid", (F.col("seen") | (F.col("place") < F.when(F.col("large"), ends[True]).otherwise(ends[False]))).alias("seen"))
+        if missing:
+            component = joined(component, missing)
+        if met:
             break
         neighbours, largest, reverse = 2 * neighbours, 2 * largest, 2 * reverse
         graph = graph.withColumn("new", F.lit(True))
