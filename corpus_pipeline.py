@@ -29,7 +29,7 @@ def one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that hold a window of a benchmark item."""
-    return decontam.clean(docs, table(spark, sf_dir, "benchmark"))
+    return decontam.clean(docs, table(spark, sf_dir, "benchmark"), unnamed=True)
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

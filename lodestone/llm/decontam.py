@@ -11,7 +11,8 @@ consecutive words of an item; an item of fewer words, but not none, is one windo
 occurrence of a window is hit, and a document with a hit is contaminated.
 
 Null and empty texts have no words and are clean; repeated rows give repeated results; items may repeat or
-share windows, and each one counts; null items are none; an empty table gives an empty result, an empty
+share windows, and each one counts; items with a null id are left out unless `unnamed` is set, as the query and
+the pipeline do: then their windows hit as all others do, and a null ends the list of items; an empty table gives an empty result, an empty
 benchmark leaves all clean. Long texts form a shard of their own. Columns other than the two named ones are
 ignored by annotate() and kept untouched by clean().
 
@@ -39,18 +40,22 @@ def words(text: str | None) -> list[bytes]:
     return (text or "").encode().translate(TO_WORDS).split()
 
 
+def nulls_last(item: str | None) -> tuple[bool, str]:
+    return item is None, item or ""
+
+
 class Windows:
     """The windows of some benchmark items, as numbers of words, ready for search."""
 
-    def __init__(self, items: list[tuple[str, str | None]], width: int = WIDTH):
+    def __init__(self, items: list[tuple[str | None, str | None]], width: int = WIDTH):
         self.width, self.ids = width, {}
-        owners: dict[tuple[int, ...], set[str]] = {}
+        owners: dict[tuple[int, ...], set[str | None]] = {}
         for item, text in items:
             found = [self.ids.setdefault(w, len(self.ids) + 1) for w in words(text)]
             for k in range(max(1, len(found) - width + 1) if found else 0):
                 owners.setdefault(tuple(found[k : k + width]), set()).add(item)
         self.windows = sorted(owners)
-        self.owners = [sorted(owners[w]) for w in self.windows]
+        self.owners = [sorted(owners[w], key=nulls_last) for w in self.windows]
         self.lengths = np.array([len(w) for w in self.windows], np.int64)
         self.pairs = np.unique([w[0] * (len(self.ids) + 1) + w[1] for w in self.windows if len(w) > 1]).astype(np.int64)
         self.single = np.unique([w[0] for w in self.windows if len(w) == 1]).astype(np.int64)
@@ -125,11 +130,11 @@ def taken(block):
     return value
 
 
-def _blocks(bench: DataFrame, item_col: str, text_col: str, most_bytes: int):
+def _blocks(bench: DataFrame, item_col: str, text_col: str, most_bytes: int, unnamed: bool = False):
     """Lists of (item, text) of most_bytes each at most; an item alone may be longer."""
     block, size = [], 0
     for item, text in bench.select(F.col(item_col).cast("string"), text_col).toLocalIterator():
-        if item is None or not text:
+        if item is None and not unnamed or not text:
             continue
         if block and size + len(text.encode()) > most_bytes:
             yield block
@@ -147,11 +152,11 @@ def _cover(rows, places, which, lengths, total):
     return np.cumsum(edge[:-1]) > 0
 
 
-def annotate(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", width: int = WIDTH, shard_words: int = SHARD_WORDS, most_bytes: int = MOST_BYTES) -> DataFrame:
+def annotate(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", width: int = WIDTH, shard_words: int = SHARD_WORDS, most_bytes: int = MOST_BYTES, unnamed: bool = False) -> DataFrame:
     """(doc_id, n_words, n_hit, items, contaminated) for every row; items are the ids as strings, sorted."""
     bounded_batches(docs.sparkSession)
     sc = docs.sparkSession.sparkContext
-    sent = [sc.broadcast(Windows(x, width)) for x in _blocks(bench, item_col, "text", most_bytes)] or [sc.broadcast(Windows([], width))]
+    sent = [sc.broadcast(Windows(x, width)) for x in _blocks(bench, item_col, "text", most_bytes, unnamed)] or [sc.broadcast(Windows([], width))]
 
     def run(batches):
         for held, found in _shards(batches, shard_words):
@@ -168,7 +173,7 @@ def annotate(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_col
                 pa.concat_arrays([x.column(0) for x in held]),
                 pa.array([len(x) for x in found], pa.int64()),
                 pa.array(n_hit, pa.int64()),
-                pa.array([sorted(x) for x in items], pa.list_(pa.string())),
+                pa.array([sorted(x, key=nulls_last) for x in items], pa.list_(pa.string())),
             ]
             yield pa.RecordBatch.from_arrays(out, ["doc_id", "n_words", "n_hit", "items"])
 
@@ -213,11 +218,11 @@ def matches(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_col:
     return texts(docs, id_col, text_col).mapInArrow(run, schema)
 
 
-def clean(docs: DataFrame, bench: DataFrame, text_col: str = "text", item_col: str = "item_id", width: int = WIDTH, shard_words: int = SHARD_WORDS, most_bytes: int = MOST_BYTES) -> DataFrame:
+def clean(docs: DataFrame, bench: DataFrame, text_col: str = "text", item_col: str = "item_id", width: int = WIDTH, shard_words: int = SHARD_WORDS, most_bytes: int = MOST_BYTES, unnamed: bool = False) -> DataFrame:
     """The rows of docs without any hit, with all their columns."""
     bounded_batches(docs.sparkSession)
     sc = docs.sparkSession.sparkContext
-    sent = [sc.broadcast(Windows(x, width)) for x in _blocks(bench, item_col, "text", most_bytes)]
+    sent = [sc.broadcast(Windows(x, width)) for x in _blocks(bench, item_col, "text", most_bytes, unnamed)]
     columns = len(docs.columns)
 
     def run(batches):

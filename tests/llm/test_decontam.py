@@ -1,7 +1,11 @@
 import random
 import re
 
+import duckdb
+
+import corpus_pipeline
 from lodestone.llm import decontam as D
+from lodestone.llm import queries
 
 DDL = "doc_id long, text string, n_words string, items int, __text string"
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -74,3 +78,23 @@ def test_empty_tables(spark):
     d, b = frames(spark, [(1, "a b")], [])
     assert [tuple(r) for r in D.annotate(d, b).collect()] == [(1, 2, 0, [], False)]
     assert D.clean(d, b).count() == 1 and D.annotate(d.limit(0), b).count() == 0 and D.matches(d, b).count() == 0
+
+
+def test_items_without_an_id_as_in_the_sql(spark, tmp_path):
+    docs, bench = sample(5)
+    bench += [(None, "x1 x2 x3"), (4, "x1 x2 x3"), (None, None)]
+    docs += [(60, "a x1 x2 x3 b"), (61, bench[7][1])]
+    d, b = frames(spark, docs, bench)
+    for name, df in (("documents", d), ("benchmark", b)):
+        df.coalesce(1).write.parquet(f"{tmp_path}/{name}.parquet")
+    c = duckdb.connect()
+    for name in ("documents", "benchmark"):
+        c.sql(f"CREATE VIEW {name} AS SELECT * FROM '{tmp_path}/{name}.parquet/*.parquet'")
+    # repeated and null ids are joined by the SQL, which is about one row per id
+    c.sql("CREATE OR REPLACE TABLE once AS SELECT doc_id, any_value(text) AS text FROM documents WHERE doc_id IS NOT NULL GROUP BY doc_id")
+    sql = c.sql(queries.ORACLE["op7_decontamination"].replace("FROM documents", "FROM once"))
+    got = queries.op7_decontamination(spark, str(tmp_path)).filter("doc_id is not null").distinct()
+    assert sorted(tuple(r[x] for x in sql.columns) for r in got.collect()) == sorted(sql.fetchall())
+    hit = {r[0] for r in sql.fetchall() if r[-1]}
+    kept = corpus_pipeline.without_benchmark(spark, d, str(tmp_path)).filter("doc_id is not null")
+    assert {r.doc_id for r in kept.collect()} == {k for k, _ in docs if k is not None} - hit and hit
