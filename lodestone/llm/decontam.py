@@ -1,9 +1,10 @@
 """Benchmark decontamination with suffix arrays over the training text.
 
 Every task gathers documents into shards of a bounded number of words and builds one suffix array for each:
-the places of the shard's words, sorted by the words that follow, to the depth of a window. Every suffix of
-every benchmark item is binary-searched in it; the range found holds all verbatim matches with their places,
-and matches on one diagonal merge to the longest ones. Places that can't start a match (a word, or a pair of
+the places of the shard's words, sorted by the words that follow, to the depth of a window. Every window of
+every benchmark item is binary-searched in it; the range found holds all its places. annotate() and clean(), and
+so the query and the pipeline, need no more than these; only matches(), which neither of them calls, merges
+windows on one diagonal to the longest verbatim matches with their locations. Places that can't start a match (a word, or a pair of
 words, that no benchmark text holds) are left out of the array, which loses nothing.
 
 Words: A-Z lower-cased, then runs of characters other than ASCII non-alphanumerics. A window is `width`

@@ -98,3 +98,13 @@ def test_items_without_an_id_as_in_the_sql(spark, tmp_path):
     hit = {r[0] for r in sql.fetchall() if r[-1]}
     kept = corpus_pipeline.without_benchmark(spark, d, str(tmp_path)).filter("doc_id is not null")
     assert {r.doc_id for r in kept.collect()} == {k for k, _ in docs if k is not None} - hit and hit
+
+
+def test_words_hit_are_those_of_the_longest_matches(spark):
+    docs, bench = sample(6)
+    d, b = frames(spark, [x for x in docs if x[0] not in (None, 50)], bench)
+    covered = {}
+    for doc, _, _, at, n in (tuple(r) for r in D.matches(d, b, width=4).collect()):
+        covered.setdefault(doc, set()).update(range(at, at + n))
+    got = {r.doc_id: r.n_hit for r in D.annotate(d, b, width=4).collect()}
+    assert got == {k: len(covered.get(k, ())) for k in got} and covered
