@@ -7,8 +7,11 @@ among all (softmax) is the score.
 
 Learning uses rows outside of the held-out fold with a language: about PER_LANG rows of each of the MOST_LANGS
 most frequent languages, chosen by a hash of their id, SAMPLE_CHARS characters of each at most (evenly spaced
-parts of longer ones), and the MOST_WORDS most frequent words of that sample: so the model is bounded whatever
-the size of the input. Every text is predicted whole.
+parts of longer ones). Of that sample each language keeps its most frequent words, of under LONGEST characters,
+up to an equal share of MOST_WORDS, and of the n-grams of all its runs of letters, also of longer ones and those
+seen once, the most frequent of each order up to an equal share of MOST_GRAMS: so the model is bounded whatever
+the size of the input, and no language takes another's place. Languages beyond MOST_LANGS are never predicted.
+Every text is predicted whole.
 
 Null and empty texts and those without a letter are `und` with score 0; so is every text if there is nothing to
 learn from. Ties go to the language that sorts first. Repeated rows give repeated results; an empty table gives
@@ -19,17 +22,19 @@ from __future__ import annotations
 
 import re
 from collections import Counter, defaultdict
+from collections.abc import Iterable
 from dataclasses import dataclass, field as dataclass_field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import field, held_out, sampled, spread, texts
+from .common import bounded_batches, cut, field, held_out, sampled, spread, texts
 
 PER_LANG, MOST_LANGS, SAMPLE_CHARS, MOST_WORDS, ORDERS, NONE = 1500, 200, 16_384, 200_000, (5, 4, 3, 2, 1), "und"
+MOST_GRAMS, LONGEST = 500_000, 64
 CACHED = 300_000  # words whose logs a worker remembers
 
 WORD = re.compile(r"[^\W\d_]+")
@@ -46,23 +51,22 @@ class Model:
     logs: np.ndarray | None = None
 
     @staticmethod
-    def learn(counts: list[tuple[str, str, int]]) -> Model:
-        """From (language, word, occurrences)."""
-        langs = sorted({x[0] for x in counts})
+    def learn(counts: list[tuple[str, str, int]], counted: list[tuple[str, str, int]] | None = None) -> Model:
+        """From (language, word, occurrences), and such of n-grams; without these they come from the words."""
+        langs = sorted({x[0] for x in [*counts, *(counted or ())]})
         place = {x: k for k, x in enumerate(langs)}
         words: defaultdict[str, np.ndarray] = defaultdict(lambda: np.zeros(len(langs), np.float32))
         grams: defaultdict[str, np.ndarray] = defaultdict(lambda: np.zeros(len(langs), np.float32))
         for lang, word, n in counts:
             words[word][place[lang]] += n
-            for order in ORDERS:
-                for gram in n_grams(word, order):
-                    grams[gram][place[lang]] += n
+        for lang, gram, n in gram_counts(counts) if counted is None else counted:
+            grams[gram][place[lang]] += n
         orders = defaultdict(list)
         for gram in grams:
             orders[len(gram)].append(gram)
         names = [g for order in sorted(orders) for g in orders[order]]
         logs = [log_shares(np.array([grams[g] for g in orders[order]])) for order in sorted(orders)]
-        return Model(langs, {w: k for k, w in enumerate(words)}, log_shares(np.array(list(words.values()))), {g: k for k, g in enumerate(names)}, np.concatenate(logs) if logs else np.zeros((0, 0)))
+        return Model(langs, {w: k for k, w in enumerate(words)}, log_shares(np.array(list(words.values())).reshape(len(words), len(langs))), {g: k for k, g in enumerate(names)}, np.concatenate(logs) if logs else np.zeros((0, 0)))
 
     def back_off(self, word: str) -> np.ndarray:
         for order in ORDERS:
@@ -106,6 +110,16 @@ def n_grams(word: str, order: int) -> list[str]:
     return [marked[k : k + order] for k in range(len(marked) - order + 1)]
 
 
+def gram_counts(counts: Iterable[tuple[str, str, int]]) -> list[tuple[str, str, int]]:
+    """(language, n-gram, occurrences) of (language, word, occurrences)."""
+    found: Counter = Counter()
+    for lang, word, n in counts:
+        for order in ORDERS:
+            for gram in n_grams(word, order):
+                found[lang, gram] += n
+    return [(*x, n) for x, n in found.items()]
+
+
 def log_shares(counts: np.ndarray) -> np.ndarray:
     """Smoothed log frequencies by language (column)."""
     return np.log((counts + 0.5) / (counts.sum(0) + 0.5 * len(counts)))
@@ -115,14 +129,28 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out("doc_id", folds))
     rows = sampled(rows, F.concat(F.col("doc_id").cast("string"), F.lit(":lang")), "lang", per_lang, MOST_LANGS)
     words = rows.select("lang", F.explode(F.regexp_extract_all(F.lower(spread(F.col("text"), SAMPLE_CHARS)), F.lit(r"\p{L}+"), F.lit(0))).alias("word"))
-    # a table of MOST_WORDS rows at most reaches the driver
-    top = words.filter(F.length("word") < 64).groupBy("lang", "word").count().filter("count > 1").orderBy(F.desc("count"), "lang", "word").limit(MOST_WORDS)
-    return Model.learn([tuple(r) for r in top.collect()])
+    bounded_batches(docs.sparkSession)
+    counts = cut(words.groupBy("lang", "word").agg(F.count("*").alias("n")))
+
+    def run(batches):
+        for batch in batches:
+            found = gram_counts(zip(*(x.to_pylist() for x in batch.columns), strict=True))
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], t) for k, t in enumerate((pa.string(), pa.string(), pa.int64()))], ["lang", "gram", "n"])
+
+    def frequent(rows: DataFrame, name: str, most: int, *keys) -> list[tuple]:
+        rank = F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc("n"), name))
+        return [tuple(r) for r in rows.withColumn("rank", rank).filter(F.col("rank") <= most).select("lang", name, "n").orderBy("lang", name).collect()]
+
+    # tables of MOST_WORDS and MOST_GRAMS rows at most reach the driver
+    langs = max(1, counts.select("lang").distinct().count())
+    grams = counts.mapInArrow(run, "lang string, gram string, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    top = frequent(counts.filter(F.length("word") < LONGEST), "word", max(1, MOST_WORDS // langs), "lang")
+    return Model.learn(top, frequent(grams, "gram", max(1, MOST_GRAMS // (langs * len(ORDERS))), "lang", F.length("gram")))
 
 
 def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, lang_pred, score) for every row, from its whole text alone."""
-    sent = docs.sparkSession.sparkContext.broadcast(model)  # MOST_WORDS words and their n-grams at most
+    sent = docs.sparkSession.sparkContext.broadcast(model)  # MOST_WORDS words and MOST_GRAMS n-grams at most
 
     def run(batches):
         for batch in batches:

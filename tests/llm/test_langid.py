@@ -47,3 +47,13 @@ def test_nothing_to_learn(spark):
     assert m.langs == [] and m.predict("the house") == ("und", 0.0) and G.predict(none, m).count() == 0
     df = spark.createDataFrame([(1, "abc", None, "", 0)], DDL)
     assert [tuple(r) for r in G.predict(df, G.fit(df)).collect()] == [(1, "und", 0.0)]
+
+
+def test_a_small_language_beside_a_large_one(spark, monkeypatch):
+    """The bound on words is shared out, and runs without spaces teach their n-grams."""
+    monkeypatch.setattr(G, "MOST_WORDS", 20)
+    large = [(k, " ".join(f"{a}{b}" for a in "bcdfg" for b in "aeiou") + f" b{'ae'[k % 2]}", "aa", "", 0) for k in range(200)]
+    small = [(1000 + k, "\u65e5\u672c\u8a9e\u306e\u6587" * 14 + chr(0x4E00 + k), "zz", "", 0) for k in range(8)]
+    model = G.fit(spark.createDataFrame(large + small, DDL))
+    assert model.langs == ["aa", "zz"] and len(model.words) <= 20
+    assert model.predict("\u672c\u8a9e\u306e")[0] == "zz" and model.predict("ba be")[0] == "aa"
