@@ -3,7 +3,8 @@
 Reading plans partitions of whole files, small ones together. Equality, IN and prefix predicates on the record
 type and the header columns are pushed down: a record's headers are parsed first, and the payload of one that
 isn't wanted is neither inflated nor decoded (each gzip member written here tells its length in the extra field
-`sl` of the WARC standard; members of other writers, which lack it, are inflated but not decoded). The option
+`sl` of the WARC standard; members of other writers, which lack it, are inflated but not decoded, and may hold
+any number of records). Headers or blocks that are cut off raise an error. The option
 payload=false leaves out all payloads.
 
 Writing makes one gzip member per record, in files of file_bytes each at most, under names that no other task
@@ -101,6 +102,59 @@ def columns_of(head: dict[str, str]) -> dict[str, str | None]:
     return out
 
 
+class Inflated:
+    """The bytes of the gzip member at `at`, from the front; a length of 0 is unknown."""
+
+    def __init__(self, file, at: int, size: int, length: int):
+        self.file, self.left, self.size = file, length or size - at, size
+        self.inflate, self.held = zlib.decompressobj(31), b""
+        file.seek(at)
+
+    def more(self, step: int) -> bool:
+        """Adds what the next step bytes of the file hold; False at the end of the member."""
+        if self.inflate.eof:
+            return False
+        chunk = self.file.read(min(step, self.left))
+        if not chunk:
+            raise ValueError("a gzip member is cut off")
+        self.left -= len(chunk)
+        self.held += self.inflate.decompress(chunk)
+        return True
+
+    def head(self) -> tuple[dict[str, str], int] | None:
+        """The next record's headers, taken off, with the length of its block; None where nothing follows."""
+        # line ends before the headers belong to the record before
+        while (found := parse_head(self.held.lstrip(b"\r\n"))) is None:
+            if not self.more(HEAD_BYTES):
+                if self.held.strip():
+                    raise ValueError("a WARC record's headers don't end")
+                return None
+        self.held = self.held.lstrip(b"\r\n")[found[1] :]
+        return found[0], block_length(found[0])
+
+    def block(self, n: int, take: bool) -> bytes:
+        """Takes n bytes off and returns them, or nothing if they aren't wanted."""
+        parts = []
+        while True:
+            part, self.held = self.held[:n], self.held[n:]
+            n -= len(part)
+            if take:
+                parts.append(part)
+            if not n:
+                return b"".join(parts)
+            if not self.more(min(1 << 20, max(HEAD_BYTES, n))):
+                raise ValueError("a WARC record's block is cut off")
+
+    def end(self) -> int:
+        return self.size - self.left - len(self.inflate.unused_data)
+
+
+def block_length(head: dict[str, str]) -> int:
+    if not head.get("content-length", "").isdecimal():
+        raise ValueError("a WARC record without a content length")
+    return int(head["content-length"])
+
+
 def records(file, size: int, wanted) -> Iterator[tuple[dict[str, str | None], bytes | None]]:
     """(columns, block) of the records of an open file that wanted(columns) accepts, in their order."""
     at = 0
@@ -113,38 +167,32 @@ def records(file, size: int, wanted) -> Iterator[tuple[dict[str, str | None], by
                 file.seek(at)
                 head, length = file.read(min(length, size - at)), length * 2
             if found is None:
+                if head.strip():
+                    raise ValueError("a WARC record's headers don't end")
                 return
-            body = int(found[0].get("content-length", 0))
+            body = block_length(found[0])
+            if at + found[1] + body > size:
+                raise ValueError("a WARC record's block is cut off")
             columns = columns_of(found[0])
             if wanted(columns):
                 file.seek(at + found[1])
                 yield columns, file.read(body)
             at += found[1] + body + 4
             continue
+        # with `sl` the member is one record, and what isn't wanted of it is skipped
         length = struct.unpack("<I", start[16:20])[0] if start[3] & 4 and start[12:14] == b"sl" else 0
-        inflate, head, found = zlib.decompressobj(31), b"", None
-        file.seek(at)
-        left = length or size - at
-        while found is None and left:
-            chunk = file.read(min(HEAD_BYTES, left))
-            left -= len(chunk)
-            head += inflate.decompress(chunk)
-            found = parse_head(head)
-        if found is None:
-            return
-        columns = columns_of(found[0])
-        take = wanted(columns)
-        parts = [head[found[1] :]]
-        if take or not length:
-            while not inflate.eof and left:
-                chunk = file.read(min(1 << 20, left))
-                left -= len(chunk)
-                data = inflate.decompress(chunk)
-                if take:
-                    parts.append(data)
-        if take:
-            yield columns, b"".join(parts)[: int(found[0].get("content-length", 0))]
-        at = at + length if length else size - left - len(inflate.unused_data)
+        member_ = Inflated(file, at, size, length)
+        while (found := member_.head()) is not None:
+            columns = columns_of(found[0])
+            take = wanted(columns)
+            if length and not take:
+                break
+            block = member_.block(found[1], take)
+            if take:
+                yield columns, block
+            if length:
+                break
+        at = at + length if length else member_.end()
 
 
 class WarcReader(DataSourceReader):

@@ -3,6 +3,7 @@ import gzip
 import hashlib
 import io
 
+import pytest
 from pyspark.sql import functions as F
 
 from lodestone.llm import warc as W
@@ -95,3 +96,20 @@ def test_only_committed_files_are_read(spark, tmp_path):
 
 def test_empty(spark, tmp_path):
     assert written(spark, tmp_path / "w", []).count() == 0
+
+
+def test_many_records_in_one_member():
+    plain = b"".join(W.record(f"r{k}", "response", "u", None, "D", 9000 * k, b"abc" * 3000 * k) for k in range(5))
+    data = gzip.compress(plain) + gzip.compress(W.record("last", "response", "u", None, "D", 3, b"abc"))
+    for skipped in ("r1", "r4", "none"):
+        got = list(W.records(io.BytesIO(data), len(data), lambda c, skipped=skipped: c["record_id"] != skipped))
+        assert [c["record_id"] for c, _ in got] == [x for x in ("r0", "r1", "r2", "r3", "r4", "last") if x != skipped]
+        assert all(b.partition(b"\r\n\r\n")[2] == b"abc" * (int(c["payload_bytes"]) // 3) for c, b in got)
+
+
+def test_broken_archives_raise():
+    one = W.record("r", "response", "u", None, "D", 3, b"abc")
+    for data in (one + b"WARC/1.1\r\nWARC-Type: response", one + one[:-6], gzip.compress(one + one[:40]), gzip.compress(one)[:-30], W.member(one)[:-30], gzip.compress(one + one[:-6])):
+        with pytest.raises(ValueError):
+            list(W.records(io.BytesIO(data), len(data), lambda c: True))
+    assert len(list(W.records(io.BytesIO(one + b"\r\n"), len(one) + 2, lambda c: True))) == 1
