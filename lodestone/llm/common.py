@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lodestone.session import cut, scratch, shared_dir  # noqa: F401
+
 #: Rows and bytes of one Arrow batch handed to a Python worker.
 BATCH_ROWS, BATCH_BYTES = "500", "8m"
 
@@ -35,27 +37,15 @@ def ship(spark: SparkSession) -> None:
 
 
 def bounded_batches(spark: SparkSession) -> None:
-    """Bounds Arrow batches by rows and bytes, so that long texts don't add up in a worker."""
+    """Bounds Arrow batches by rows and bytes, so that long texts don't add up in a worker.
+
+    Plans read these settings when they run, so they stay in the session; a caller's own number of rows is kept."""
     ship(spark)
     if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir; a temporary one only where none is set (local tests)."""
-    sc = spark.sparkContext
-    if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="lodestone-"))
-    return sc._jsc.sc().getCheckpointDir().get()
-
-
-def cut(df: DataFrame) -> DataFrame:
-    """Computes df once and cuts its lineage with a reliable checkpoint in the shared folder."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def held_out(doc_id: str | Column, folds: int = 5) -> Column:
     """True where crc32 of the id as text leaves no remainder; null ids are held out, too."""
     col = F.col(doc_id) if isinstance(doc_id, str) else doc_id
@@ -71,6 +61,28 @@ def split_join(rows: DataFrame, sums: DataFrame, *keys: str, how: str = "inner")
     return rows.withColumn("__keys", F.struct(*keys)).join(sums.select(F.struct(*keys).alias("__keys"), *rest), "__keys", how).drop("__keys")
 
 
+#: Bits of a filter at most: what is broadcast stays below 2**20 rows of 16 bytes, however many keys there are.
+MOST_BITS = 1 << 26
+
+
+def maybe_in(rows: DataFrame, key: Column, keys: DataFrame, name: str, most_bits: int = MOST_BITS) -> DataFrame:
+    """rows with the boolean column name, false where key, hashed, is surely not in the one column of keys.
+
+    A bit set of bounded size stands for the keys, as a small table that every task gets: rows that have no
+    partner needn't be shuffled for a join. Some rows without a partner are let through, none with one is lost.
+    keys is read twice, so it should be computed already."""
+    bits = min(most_bits, 1 << max(10, (16 * keys.count()).bit_length()))
+    (column,) = keys.columns
+    place = lambda x: F.pmod(F.xxhash64(x), F.lit(bits))
+    word, bit = fresh(rows, f"__{name}_w"), fresh(rows, f"__{name}_b")
+    p = place(F.col(column))
+    held = keys.select(F.shiftright(p, 6).alias(word), F.lit(1).cast("long").alias("one"), F.pmod(p, F.lit(64)).cast("int").alias("k"))
+    held = held.groupBy(word).agg(F.bit_or(F.expr("shiftleft(one, k)")).alias(bit))
+    mine = place(key)
+    there = F.coalesce(F.expr(f"shiftright(`{bit}`, `{bit}_k`) & 1") == 1, F.lit(False))
+    return rows.withColumns({word: F.shiftright(mine, 6), f"{bit}_k": F.pmod(mine, F.lit(64)).cast("int")}).join(F.broadcast(held), word, "left").withColumn(name, there).drop(word, bit, f"{bit}_k")
+
+
 def field(df: DataFrame, name: str, renamed: str | None = None) -> T.StructField:
     return T.StructField(renamed or name, df.schema[name].dataType, True)
 

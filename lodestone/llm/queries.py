@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-from uuid import uuid4
-
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bpe, decontam, jaccard, langid, packing, quality, secret_scan, token_counts, vector_dedup, warc
-from .common import held_out, shared_dir, table
+from .common import held_out, scratch, table
 
 BPE, PIECES = "byte_bpe_50k.tiktoken", "piece_bpe_32k.model"
 
@@ -47,7 +45,7 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path, prefix = f"{shared_dir(spark)}/warc-{uuid4().hex}", "urn:x-page:"
+    path, prefix = scratch(spark, "warc"), "urn:x-page:"
     warc.archive(table(spark, sf_dir, "pages"), path, "page_id", "url", "html", prefix)
     found = warc.read(spark, path).filter(F.col("record_type").isin("response", "revisit"))
     number = lambda x: F.substring_index(x, ":", -1).cast("long")

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, EqualTo, Filter, In, InputPartition, StringStartsWith, WriterCommitMessage
 
-from .common import ship
+from .common import cut, maybe_in, ship, split_join
 
 SCHEMA = "record_id string, record_type string, target_uri string, refers_to string, payload_digest string, payload_bytes long, payload binary"
 FILE_BYTES, PART_BYTES, HEAD_BYTES = 128_000_000, 64_000_000, 2048
@@ -335,11 +335,18 @@ def planned(rows: DataFrame, id_col: str, url_col: str, payload_col: str, id_pre
     """What archive() writes, one line per row: SCHEMA, with the digest in hex, which the writer turns to base32, and revisits without payload."""
     full = rows.select(F.col(id_col).alias("id"), F.col(url_col).cast("string").alias("target_uri"), F.coalesce(F.col(payload_col), F.lit("")).cast("binary").alias("payload"))
     full = full.withColumn("sha1", F.sha1("payload")).withColumn("payload_bytes", F.octet_length("payload").cast("long"))
-    # narrow rows only, summed up before the shuffle; payloads without a copy find no partner in the join
-    firsts = full.filter(F.col("payload_bytes") >= least_bytes).groupBy("sha1").agg(F.min("id").alias("first"), F.count("id").alias("n")).filter("n > 1").select("sha1", "first")
+    # narrow rows only, summed up before the shuffle
+    firsts = cut(full.filter(F.col("payload_bytes") >= least_bytes).groupBy("sha1").agg(F.min("id").alias("first"), F.count("id").alias("n")).filter("n > 1").select("sha1", "first"))
+    marked = maybe_in(full, F.col("sha1"), firsts.select("sha1"), "copied")
+    marked = maybe_in(marked, F.struct("sha1", "id"), firsts.select(F.struct("sha1", F.col("first").alias("id")).alias("k")), "leads")
+    met = F.col("copied") & F.col("id").isNotNull() & (F.col("payload_bytes") >= least_bytes)
+    # only rows that may have a copy are shuffled, and of these only the payloads that may be kept
+    copies = marked.filter(met).withColumn("payload", F.when(F.col("leads"), F.col("payload"))).drop("copied", "leads")
+    copies = split_join(copies, firsts, "sha1", how="left")
+    alone = marked.filter(~met).drop("copied", "leads").withColumn("first", F.lit(None).cast(firsts.schema["first"].dataType))
     name = lambda x: F.concat(F.lit(id_prefix), F.col(x).cast("string"))
-    again = F.coalesce((F.col("id") != F.col("first")) & (F.col("payload_bytes") >= least_bytes), F.lit(False))
-    return full.join(firsts, "sha1", "left").select(
+    again = F.coalesce(F.col("id") != F.col("first"), F.lit(False))
+    return alone.unionByName(copies).select(
         F.coalesce(name("id"), F.concat(F.lit(id_prefix), F.lit("null"))).alias("record_id"),
         F.when(again, "revisit").otherwise("response").alias("record_type"),
         "target_uri",
