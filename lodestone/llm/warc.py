@@ -2,9 +2,10 @@
 
 Reading plans partitions of whole files, small ones together. Equality, IN and prefix predicates on the record
 type and the header columns are pushed down: a record's headers are parsed first, and the payload of one that
-isn't wanted is neither inflated nor decoded (each gzip member written here tells its length in the extra field
+isn't wanted by any scan of the table is neither inflated nor decoded (each gzip member written here tells its length in the extra field
 `sl` of the WARC standard; members of other writers, which lack it, are inflated but not decoded, and may hold
-any number of records). Headers or blocks that are cut off raise an error. The option
+any number of records). Headers or blocks that are cut off, and payloads that don't fit their member's checksum,
+raise an error. The option
 payload=false leaves out all payloads.
 
 Writing makes one gzip member per record, in files of file_bytes each at most, under names that no other task
@@ -20,9 +21,12 @@ archive without records. Other columns, whatever their names, are ignored.
 
 from __future__ import annotations
 
+import atexit
 import base64
 import json
+import shutil
 import struct
+import tempfile
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -98,6 +102,7 @@ def parse_head(data: bytes) -> tuple[dict[str, str], int] | None:
 def columns_of(head: dict[str, str]) -> dict[str, str | None]:
     bare = lambda x: x[1:-1] if x and x[:1] == "<" and x[-1:] == ">" else x
     out = {k: bare(head.get(v)) for k, v in HEADERS.items()}
+    out["record_type"] = out["record_type"] or ""  # every record has one, by the standard
     out["payload_digest"] = (out["payload_digest"] or "").partition(":")[2] or None
     return out
 
@@ -179,8 +184,10 @@ def records(file, size: int, wanted) -> Iterator[tuple[dict[str, str | None], by
                 yield columns, file.read(body)
             at += found[1] + body + 4
             continue
+        if len(start) < 18:
+            raise ValueError("a gzip member is cut off")
         # with `sl` the member is one record, and what isn't wanted of it is skipped
-        length = struct.unpack("<I", start[16:20])[0] if start[3] & 4 and start[12:14] == b"sl" else 0
+        length = struct.unpack("<I", start[16:20])[0] if start[3] & 4 and start[12:14] == b"sl" and len(start) >= 20 else 0
         member_ = Inflated(file, at, size, length)
         while (found := member_.head()) is not None:
             columns = columns_of(found[0])
@@ -188,6 +195,8 @@ def records(file, size: int, wanted) -> Iterator[tuple[dict[str, str | None], by
             if length and not take:
                 break
             block = member_.block(found[1], take)
+            while length and member_.more(1 << 16):  # to the end, where the checksum of the member is compared
+                pass
             if take:
                 yield columns, block
             if length:
@@ -195,26 +204,37 @@ def records(file, size: int, wanted) -> Iterator[tuple[dict[str, str | None], by
         at = at + length if length else member_.end()
 
 
+def fits(found: str | None, kind: str, value) -> bool:
+    if found is None:
+        return False
+    return found == value if kind == "is" else found in value if kind == "in" else found.startswith(value)
+
+
 class WarcReader(DataSourceReader):
-    def __init__(self, path: str, payload: bool, part_bytes: int):
-        self.path, self.payload, self.part_bytes = path, payload, part_bytes
-        self.filters: list[Filter] = []
+    """pushed is a file on the driver with the predicates of all scans of this table so far.
+
+    Spark keeps one plan of a Python source for each table, that of the scan planned last: of df.filter(a) and
+    df.filter(b) in one query, both would read what b accepts. So a reader accepts what any scan of its table asked
+    for, and hands all filters back to Spark, which applies each scan's own once more. Without the file nothing is
+    left out."""
+
+    def __init__(self, path: str, payload: bool, part_bytes: int, pushed: str | None = None):
+        self.path, self.payload, self.part_bytes, self.pushed = path, payload, part_bytes, pushed
+        self.wanted: list[list[tuple[str, str, object]]] | None = None
 
     def pushFilters(self, filters: list[Filter]):  # noqa: N802
-        for f in filters:
-            if isinstance(f, (EqualTo, In, StringStartsWith)) and len(f.attribute) == 1 and f.attribute[0] in HEADERS and f.attribute[0] != "payload_bytes":
-                self.filters.append(f)
-            else:
-                yield f
+        if self.pushed:
+            kinds = {EqualTo: "is", In: "in", StringStartsWith: "starts"}
+            mine = [(kinds[type(f)], f.attribute[0], list(f.value) if isinstance(f, In) else f.value) for f in filters if type(f) in kinds and len(f.attribute) == 1 and f.attribute[0] in HEADERS and f.attribute[0] != "payload_bytes"]
+            with open(self.pushed, "a+") as file:
+                file.write(json.dumps(mine) + "\n")
+                file.flush()
+                file.seek(0)
+                self.wanted = [json.loads(x) for x in file]
+        return filters
 
     def accepts(self, columns: dict[str, str | None]) -> bool:
-        for f in self.filters:
-            value = columns[f.attribute[0]]
-            if value is None:
-                return False
-            if isinstance(f, EqualTo) and value != f.value or isinstance(f, In) and value not in f.value or isinstance(f, StringStartsWith) and not value.startswith(f.value):
-                return False
-        return True
+        return self.wanted is None or any(all(fits(columns[name], kind, value) for kind, name, value in scan) for scan in self.wanted)
 
     def partitions(self):
         from pyarrow import fs
@@ -313,7 +333,7 @@ class WarcSource(DataSource):
         return SCHEMA
 
     def reader(self, schema):
-        return WarcReader(self.options["path"], self.options.get("payload", "true").lower() == "true", int(self.options.get("part_bytes", PART_BYTES)))
+        return WarcReader(self.options["path"], self.options.get("payload", "true").lower() == "true", int(self.options.get("part_bytes", PART_BYTES)), self.options.get("pushed"))
 
     def writer(self, schema, overwrite):
         return WarcWriter(self.options["path"], overwrite, int(self.options.get("file_bytes", FILE_BYTES)))
@@ -325,10 +345,19 @@ def register(spark: SparkSession) -> None:
     spark.dataSource.register(WarcSource)
 
 
+_pushed: list[str] = []
+
+
 def read(spark: SparkSession, path: str, payload: bool = True) -> DataFrame:
-    """The records of the archives below path, with the columns of SCHEMA."""
+    """The records of the archives below path, with the columns of SCHEMA.
+
+    Filters on the result are pushed down, see WarcReader; the one added here makes Spark plan every scan anew."""
     register(spark)
-    return spark.read.format("warc").option("payload", str(payload).lower()).load(path)
+    if not _pushed:
+        _pushed.append(tempfile.mkdtemp(prefix="lodestone-warc-"))
+        atexit.register(shutil.rmtree, _pushed[0], ignore_errors=True)
+    scans = f"{_pushed[0]}/{uuid4().hex}"
+    return spark.read.format("warc").option("payload", str(payload).lower()).option("pushed", scans).load(path).filter(F.col("record_type").isNotNull())
 
 
 def planned(rows: DataFrame, id_col: str, url_col: str, payload_col: str, id_prefix: str, least_bytes: int = 0) -> DataFrame:

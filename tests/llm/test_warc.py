@@ -50,17 +50,27 @@ def test_pushed_filters(spark, tmp_path):
     assert {r.payload for r in W.read(spark, str(tmp_path / "w"), payload=False).select("payload").collect()} == {None}
 
 
+def test_scans_of_one_table_keep_their_own_filters(spark, tmp_path):
+    df = written(spark, tmp_path / "w")
+    kind = lambda x: df.filter(F.col("record_type") == x)
+    n = [df.count(), kind("revisit").count(), kind("response").count(), df.count()]
+    assert n == [len(PAGES), 2, len(PAGES) - 2, len(PAGES)]
+    both = kind("revisit").union(kind("response")).union(df.filter(F.col("record_id") == "urn:p:1")).collect()
+    assert len(both) == len(PAGES) + 1 and sum(r.record_type == "revisit" for r in both) == 2
+    assert kind("revisit").union(df).count() == len(PAGES) + 2
+
+
 def test_unwanted_payloads_are_never_decoded_through_spark(spark, tmp_path):
     """Payloads that can't be inflated: only a reader that gets the predicate can read past them."""
     noise = __import__("random").Random(2).randbytes(60_000)
     whole = W.member(W.record("r", "response", "u", None, "D", len(noise), noise))
     broken = whole[:30_000] + bytes(20_000) + whole[50_000:]
     (tmp_path / "a.warc.gz").write_bytes(broken + W.member(W.record("v", "revisit", "u", "r", "D", 3, None)))
-    df = W.read(spark, str(tmp_path))
-    assert [r.record_id for r in df.filter("record_type = 'revisit'").collect()] == ["v"]
-    assert [r.record_id for r in df.filter(F.col("record_id").isin("v", "w") & F.col("target_uri").startswith("u")).collect()] == ["v"]
+    read = lambda: W.read(spark, str(tmp_path))
+    assert [r.record_id for r in read().filter("record_type = 'revisit'").collect()] == ["v"]
+    assert [r.record_id for r in read().filter(F.col("record_id").isin("v", "w") & F.col("target_uri").startswith("u")).collect()] == ["v"]
     with pytest.raises(Exception, match="rror"):
-        df.collect()
+        read().collect()
 
 
 def test_every_cut_ends(spark):
