@@ -95,8 +95,8 @@ m AS (
 s AS (SELECT doc_id, source, kind, rank, v[i] AS value, list_sum(list_transform(g[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0) AS a, length(m[i]) AS n FROM m, unnest(range(1, len(m) + 1)) AS t(i)),
 f AS (SELECT doc_id, source, kind, rank, value, CAST(a AS BIGINT) AS a, CAST(a + n AS BIGINT) AS b FROM s WHERE (rank > 0 OR length(value) >= 6) AND (rank < 3 OR regexp_matches(value, '[0-9]') AND regexp_matches(value, '[A-Za-z]'))),
 c AS (SELECT * FROM f WHERE rank < 3 UNION ALL SELECT * FROM f WHERE rank = 3 AND NOT EXISTS (SELECT 1 FROM f AS o WHERE o.rank < 3 AND o.doc_id = f.doc_id AND o.a < f.b AND f.a < o.b)),
-h AS (SELECT value, count(DISTINCT source) AS n_owners, bool_or(rank < 3) AS credential FROM c GROUP BY value),
-j AS (SELECT c.*, n_owners < 3 AS live FROM c JOIN h USING (value) WHERE rank < 3 OR n_owners < 3 AND (credential OR regexp_matches(value, '[0-9]') AND regexp_matches(value, '[A-Z]') AND regexp_matches(value, '[a-z]'))),
+h AS (SELECT value, count(DISTINCT source) AS n_owners, count(DISTINCT {'source': source, 'doc': doc_id}) FILTER (doc_id IS NOT NULL) AS n_repos, bool_or(rank < 3) AS credential FROM c GROUP BY value),
+j AS (SELECT c.*, n_owners < 3 AND n_repos < 20 AS live FROM c JOIN h USING (value) WHERE rank < 3 OR n_owners < 3 AND n_repos < 20 AND (credential OR regexp_matches(value, '[0-9]') AND regexp_matches(value, '[A-Z]') AND regexp_matches(value, '[a-z]'))),
 r AS (SELECT doc_id, count(*) FILTER (rank = 0) AS n_assign, count(*) FILTER (rank = 1) AS n_access, count(*) FILTER (rank = 2) AS n_hex, string_agg(kind || ':' || a || ':' || b, ',' ORDER BY a, rank, b) FILTER (rank < 3) AS base, string_agg(kind || ':' || a || ':' || b, ',' ORDER BY a, rank, b) AS spans, count(*) FILTER (live) AS n_live, count(*) FILTER (NOT live) AS n_example FROM j GROUP BY doc_id)
 SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(n_live, 0) AS n_live, coalesce(n_example, 0) AS n_example FROM d LEFT JOIN r USING (doc_id)
 """,
