@@ -108,13 +108,14 @@ def spread(text: Column, most: int, parts: int = 4) -> Column:
     return F.when(F.length(text) <= most, text).otherwise(F.concat_ws("\n", *[F.substring(text, (F.lit(k) * step + 1).cast("int"), F.lit(size)) for k in range(parts)]))
 
 
-def sampled(rows: DataFrame, key: str | Column, class_col: str, per_class: int, classes: int) -> DataFrame:
-    """About per_class rows of each of the most frequent classes: those whose hash of key is lowest.
-
-    The bound on the hash comes from a count by class, so no class is gathered in one task."""
-    counts = rows.groupBy(class_col).count().orderBy(F.desc("count"), class_col).limit(classes).collect()
-    place = (F.xxhash64(key) / float(2**64) + 0.5)
-    keep = F.lit(False)
-    for value, n in counts:
-        keep = keep | ((F.col(class_col) == value) & (place < min(1.0, per_class / n)))
-    return rows.filter(keep)
+def sampled(rows: DataFrame, key: str | Column, class_col: str, per_class: int) -> DataFrame:
+    """About per_class rows of each class: those whose hash of key is lowest; all rows of smaller classes.
+
+    The bound on the hash comes from a count by class, so no class is gathered in one task; of the counts only
+    those of classes over per_class reach the driver."""
+    large = rows.groupBy(class_col).count().filter(F.col("count") > per_class).collect()
+    if not large:
+        return rows
+    shares = F.create_map(*[x for value, n in large for x in (F.lit(value), F.lit(per_class / n))])
+    place = F.xxhash64(key) / float(2**64) + 0.5
+    return rows.filter(place < F.coalesce(shares[F.col(class_col)], F.lit(1.0)))

@@ -68,14 +68,14 @@ def by_group(rows: DataFrame, keys: list[str], run: Callable[[pa.Table], Iterato
     return dealt.mapInArrow(each, schema)
 
 
-def by_cell(rows: DataFrame, run: Callable[[pa.Table], Iterator[pa.RecordBatch]], schema: str, partitions: int, group: str = "component") -> DataFrame:
+def by_cell(rows: DataFrame, run: Callable[[pa.Table], Iterator[pa.RecordBatch]], schema: str, partitions: int, group: tuple[str, ...] = ("component",)) -> DataFrame:
     """Calls run for every pair of blocks of a group (and each block with itself) with the rows of the two.
 
     A cell holds the rows of two blocks at most, whatever the size of the group; every row goes to as many cells
     as its group has blocks. No pair of rows is ever emitted: run returns what it counts."""
     both = rows.withColumn("__other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     both = both.withColumn("__i", F.least("block", "__other")).withColumn("__j", F.greatest("block", "__other")).drop("__other", "blocks")
-    return by_group(both, [group, "__i", "__j"], run, schema, partitions)
+    return by_group(both, [*group, "__i", "__j"], run, schema, partitions)
 
 
 def forest(n: int, left, right) -> list[tuple[int, int]]:

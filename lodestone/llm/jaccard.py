@@ -3,9 +3,15 @@
 Every text becomes its set of word n-grams (words as in the decontamination operator; a text of fewer words,
 but not none, is one n-gram). Texts with equal sets form a class, so copies are one member from here on. The
 numbers of bands and rows are chosen so that a pair at the threshold shares a band with the probability
-`recall`; classes meet where the hash of a whole band is equal, and what meets, directly or over others, is a
-group of candidates. In each group the full sets are fetched again and all pairs are verified exactly, block
-against block inside of a task, which returns numbers of links and the edges of a spanning forest, never pairs.
+`recall`; classes meet where the hash of a whole band is equal. The full sets of those that meet are fetched again,
+and every pair that shares a band is verified exactly, once, block against block inside of a task, which returns
+numbers of links and the edges of a spanning forest, never pairs. Groups are components of these links.
+
+What is verified doesn't depend on how it is dealt out, and that is chosen by cost. The pairs of a bucket are
+checked in the bucket of their first common band. Where many buckets hold the same rows again and again (a group of
+copies), their whole component goes through as one unit instead, in which the pairs without a common band are
+skipped. Each component takes the way that sends fewer sets, so chains of half-alike texts cost as much as
+their buckets, however long they get, and groups of copies no more than their blocks.
 
 links() returns a row for every row: its class, its group of linked documents and how many other documents it is
 linked to (copies count, each for itself). dedup() keeps the document with the smallest id of each group.
@@ -31,10 +37,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import bounded_batches, cut, field, fresh, split_join
-from .components import by_cell, connected_components, forest, placed
+from .components import by_cell, connected_components, forest
 from .decontam import words
 
-SIZE, THRESHOLD, RECALL, ROWS, BLOCK, MOST_BITS, PROBES = 5, 0.8, 0.9995, 6, 512, 1 << 26, 3
+SIZE, THRESHOLD, RECALL, ROWS, BLOCK, MOST_BITS, PROBES = 5, 0.8, 0.9999, 6, 512, 1 << 26, 3
 
 
 def banding(threshold: float = THRESHOLD, recall: float = RECALL, rows: int = ROWS) -> tuple[int, int]:
@@ -169,11 +175,20 @@ def shared(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.nd
     return out
 
 
+def common_bands(bands: np.ndarray, left: np.ndarray, right: np.ndarray, band: int) -> np.ndarray:
+    """Which pairs (left[k], right[k]) count here: those whose first common band is `band`, or any if that is -1."""
+    out = np.zeros(len(left), bool)
+    for k in range(0, len(left), 65_536):
+        same = bands[left[k : k + 65_536]] == bands[right[k : k + 65_536]]
+        out[k : k + 65_536] = same.any(1) & ((same.argmax(1) == band) | (band < 0))
+    return out
+
+
 def verify(threshold: float):
     """For by_cell: (node, links, other): how many documents each class of the cell links to, and forest edges."""
 
     def run(cell: pa.Table):
-        i, j = cell["__i"][0].as_py(), cell["__j"][0].as_py()
+        i, j, band = (cell[x][0].as_py() for x in ("__i", "__j", "band"))
         keys, block, n = cell["node"].to_pylist(), np.array(cell["block"].to_pylist()), np.array(cell["n"].to_pylist(), np.int64)
         sets = [np.frombuffer(x, np.uint64) for x in cell["grams"].to_pylist()]
         left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
@@ -184,11 +199,13 @@ def verify(threshold: float):
         linked = common >= threshold * (size[left][:, None] + size[right][None, :] - common) - 1e-9
         if i == j:
             np.fill_diagonal(linked, False)
+        a, b = np.nonzero(linked)
+        linked[a, b] = common_bands(np.array(cell["bands"].to_pylist(), np.int64), left[a], right[b], band)
+        a, b = np.nonzero(linked)
         links = np.zeros(len(keys), np.int64)
         links[left] += linked @ n[right]
         if i != j:
             links[right] += n[left] @ linked
-        a, b = np.nonzero(linked)
         rows = [(keys[k], int(links[k]), None) for k in np.flatnonzero(links)]
         rows += [(keys[x], 0, keys[y]) for x, y in forest(len(keys), left[a], right[b])]
         yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], pa.int64()) for k in range(3)], ["node", "links", "other"])
@@ -196,6 +213,32 @@ def verify(threshold: float):
     return run
 
 
+def meetings(classes: DataFrame) -> DataFrame:
+    """(bucket, node, band, hub, last, m, x) of the classes in buckets of two or more: the bucket's smallest and
+    largest node, its number of nodes and a hash of them all. Computed once."""
+    met = classes.select("node", F.posexplode("bands").alias("band", "hash")).select("node", "band", F.xxhash64("band", "hash").alias("bucket"))
+    sums = met.groupBy("bucket").agg(F.min("node").alias("hub"), F.max("node").alias("last"), F.count("*").alias("m"), F.bit_xor(F.xxhash64("node")).alias("x")).filter("hub != last")
+    return cut(split_join(met, sums, "bucket"))
+
+
+def units(met: DataFrame, component: DataFrame, block: int) -> DataFrame:
+    """(node, unit, band, blocks, block): what is verified together, a whole component (band -1) or a bucket, each
+    in blocks. Of buckets with the same nodes that of the lowest band stands for all."""
+    cost = lambda x: F.col(x) * F.ceil(F.col(x) / block)
+    sizes = component.groupBy("component").agg(F.count("*").alias("size"))
+    # components of one block are never cheaper by their buckets
+    large = split_join(component, sizes.filter(F.col("size") > block), "component")
+    inside = cut(met.join(large, "node"))
+    once = ["hub", "last", "m", "x"]
+    buckets = inside.filter("node = hub").groupBy("component", "size", *once).agg(F.min("band").alias("band"))
+    apart = cut(buckets.groupBy("component", "size").agg(F.sum(cost("m")).alias("cost")).filter(F.col("cost") < cost("size")).select("component"))
+    chosen = buckets.join(apart, "component").select("component", *once, "band")
+    rows = split_join(inside, chosen, "component", *once, "band").select("node", F.col("bucket").alias("unit"), "band", "m")
+    whole = split_join(component, sizes.join(apart, "component", "left_anti"), "component").select("node", F.col("component").alias("unit"), F.lit(-1).alias("band"), F.col("size").alias("m"))
+    blocks = F.ceil(F.col("m") / block).cast("int")
+    return whole.unionByName(rows).select("node", "unit", "band", blocks.alias("blocks"), F.pmod(F.xxhash64("node"), blocks).cast("int").alias("block"))
+
+
 def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SIZE, threshold: float = THRESHOLD, recall: float = RECALL, rows: int = ROWS, block: int = BLOCK) -> DataFrame:
     """(doc_id, jid, jhash, copy_of, class_id, n_links, kept) of every row: the smallest ids of its class of equal
     sets and of its group of linked documents, and whether it is the one row of its group that stays."""
@@ -204,14 +247,15 @@ def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size:
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "jid", "jhash"))
     classes = signed.filter("key is not null").groupBy("key").agg(first.alias("first"), F.count("*").alias("n"), F.any_value("bands").alias("bands"))
     classes = cut(classes.withColumn("node", F.monotonically_increasing_id()))  # read again, the numbers stay
-    met = classes.select("node", F.posexplode("bands").alias("band", "hash")).select("node", F.xxhash64("band", "hash").alias("bucket"))
-    hubs = met.groupBy("bucket").agg(F.min("node").alias("hub"), F.max("node").alias("last")).filter("hub != last").select("bucket", "hub")
-    candidates = connected_components(split_join(met, hubs, "bucket").filter("node != hub"), "node", "hub")
-    group = cut(placed(candidates, block).join(classes.select("node", "key", "n", "first.jid", "first.jhash"), "node"))
+    met = meetings(classes)
+    candidates = cut(connected_components(met.filter("node != hub"), "node", "hub"))
+    wanted = candidates.join(classes.select("node", "key", "n", "bands", "first.jid", "first.jhash"), "node").drop("component")
+    wanted = cut(wanted)
     partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    sets = full_sets(docs, group.select("jid", "jhash"), id_col, text_col, size)
+    sets = full_sets(docs, wanted.select("jid", "jhash"), id_col, text_col, size)
     sets = sets.groupBy("key").agg(F.any_value("grams").alias("grams"))  # repeated rows name the same set
-    cells = by_cell(group.drop("jid", "jhash").join(sets, "key").drop("key"), verify(threshold), "node long, links long, other long", partitions)
+    full = wanted.drop("jid", "jhash").join(sets, "key").drop("key")
+    cells = by_cell(units(met, candidates, block).join(full, "node"), verify(threshold), "node long, links long, other long", partitions, ("unit", "band"))
     checked = cut(cells)
     near = connected_components(checked.filter("other is not null"), "node", "other")
     more = checked.groupBy("node").agg(F.sum("links").alias("more"))

@@ -5,13 +5,14 @@ its character n-grams, the longest known order first, then ever shorter ones, an
 frequencies, weighted by how much of the word they stand for. The highest sum names the language; its share
 among all (softmax) is the score.
 
-Learning uses rows outside of the held-out fold with a language: about PER_LANG rows of each of the MOST_LANGS
-most frequent languages, chosen by a hash of their id, SAMPLE_CHARS characters of each at most (evenly spaced
-parts of longer ones). Of that sample each language keeps its most frequent words, of under LONGEST characters,
-up to an equal share of MOST_WORDS, and of the n-grams of all its runs of letters, also of longer ones and those
-seen once, the most frequent of each order up to an equal share of MOST_GRAMS: so the model is bounded whatever
-the size of the input, and no language takes another's place. Languages beyond MOST_LANGS are never predicted.
-Every text is predicted whole.
+Learning uses rows outside of the held-out fold with a language: about PER_LANG rows of each language, chosen by a
+hash of their id, SAMPLE_CHARS characters of each at most (evenly spaced parts of longer ones). Of that sample each
+language keeps its most frequent words, of under LONGEST characters, up to an equal share of MOST_WORDS, and of the
+n-grams of all its runs of letters, also of longer ones and those seen once, the most frequent of each order up to
+an equal share of MOST_GRAMS (one of each at least): so the model is bounded whatever the size of the input, and no
+language takes another's place. Frequencies are kept for the languages that have a word only, so many languages
+make no large model. Learning and prediction take the same words: runs of letters, that is of the characters of
+the general category L, in lower case. Every text is predicted whole.
 
 Null and empty texts and those without a letter are `und` with score 0; so is every text if there is nothing to
 learn from. Ties go to the language that sorts first. Repeated rows give repeated results; an empty table gives
@@ -21,9 +22,11 @@ an empty result. Columns other than the named ones are ignored, and lang is read
 from __future__ import annotations
 
 import re
+import sys
 from collections import Counter, defaultdict
 from collections.abc import Iterable
-from dataclasses import dataclass, field as dataclass_field
+from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -33,71 +36,98 @@ from pyspark.sql import types as T
 
 from .common import bounded_batches, cut, field, held_out, sampled, spread, texts
 
-PER_LANG, MOST_LANGS, SAMPLE_CHARS, MOST_WORDS, ORDERS, NONE = 1500, 200, 16_384, 200_000, (5, 4, 3, 2, 1), "und"
-MOST_GRAMS, LONGEST = 500_000, 64
-CACHED = 300_000  # words whose logs a worker remembers
+PER_LANG, SAMPLE_CHARS, MOST_WORDS, MOST_GRAMS, LONGEST, ORDERS, NONE = 1500, 16_384, 200_000, 500_000, 64, (5, 4, 3, 2, 1), "und"
+CACHE_BYTES = 20_000_000  # of logs of unknown words that a worker remembers
 
-WORD = re.compile(r"[^\W\d_]+")
+
+@lru_cache(maxsize=1)
+def letters() -> re.Pattern[str]:
+    """Runs of letters: of what `re` takes for a word's characters without digits, numbers such as one half go, too."""
+    numbers = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isalnum() and not c.isalpha() and not c.isdecimal())
+    return re.compile(f"[^\\W\\d_{numbers}]+")
+
+
+def words_of(text: str | None) -> Counter:
+    return Counter(letters().findall((text or "").lower()))
+
+
+class Table:
+    """Smoothed log frequencies of words by language: base for those that a language doesn't have, and for each
+    word the languages that do, with what these add to the base."""
+
+    def __init__(self, counts: Iterable[tuple[int, str, int]], langs: int):
+        rows = sorted(counts, key=lambda x: (x[1], x[0]))
+        self.lang = np.array([x[0] for x in rows], np.int32)
+        n = np.array([x[2] for x in rows], np.float64)
+        new = [k for k, x in enumerate(rows) if not k or x[1] != rows[k - 1][1]]
+        self.place = {rows[k][1]: i for i, k in enumerate(new)}
+        self.start = np.array([*new, len(rows)], np.int64)
+        total = np.bincount(self.lang, n, langs) + 0.5 * len(new)
+        self.base = np.log(0.5 / np.maximum(total, 0.5))
+        self.more = (np.log(n + 0.5) - np.log(0.5)).astype(np.float32)
+
+    def total(self, places: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        """The weighted sum, by language, of the logs of the words at places."""
+        start = self.start[places]
+        n = self.start[places + 1] - start
+        at = np.repeat(start - np.cumsum(n) + n, n) + np.arange(n.sum())
+        return np.bincount(self.lang[at], self.more[at] * np.repeat(weights, n), len(self.base)) + weights.sum() * self.base
 
 
 @dataclass
 class Model:
     langs: list[str]
-    words: dict[str, int]
-    word_logs: np.ndarray
-    grams: dict[str, int]
-    gram_logs: np.ndarray
-    rows: dict[str, int] = dataclass_field(default_factory=dict)
-    logs: np.ndarray | None = None
+    words: Table
+    grams: dict[int, Table]
 
     @staticmethod
     def learn(counts: list[tuple[str, str, int]], counted: list[tuple[str, str, int]] | None = None) -> Model:
         """From (language, word, occurrences), and such of n-grams; without these they come from the words."""
-        langs = sorted({x[0] for x in [*counts, *(counted or ())]})
+        counted = gram_counts(counts) if counted is None else counted
+        langs = sorted({x[0] for x in [*counts, *counted]})
         place = {x: k for k, x in enumerate(langs)}
-        words: defaultdict[str, np.ndarray] = defaultdict(lambda: np.zeros(len(langs), np.float32))
-        grams: defaultdict[str, np.ndarray] = defaultdict(lambda: np.zeros(len(langs), np.float32))
-        for lang, word, n in counts:
-            words[word][place[lang]] += n
-        for lang, gram, n in gram_counts(counts) if counted is None else counted:
-            grams[gram][place[lang]] += n
         orders = defaultdict(list)
-        for gram in grams:
-            orders[len(gram)].append(gram)
-        names = [g for order in sorted(orders) for g in orders[order]]
-        logs = [log_shares(np.array([grams[g] for g in orders[order]])) for order in sorted(orders)]
-        return Model(langs, {w: k for k, w in enumerate(words)}, log_shares(np.array(list(words.values())).reshape(len(words), len(langs))), {g: k for k, g in enumerate(names)}, np.concatenate(logs) if logs else np.zeros((0, 0)))
+        for lang, gram, n in counted:
+            orders[len(gram)].append((place[lang], gram, n))
+        return Model(langs, Table(((place[x], w, n) for x, w, n in counts), len(langs)), {k: Table(x, len(langs)) for k, x in orders.items()})
 
     def back_off(self, word: str) -> np.ndarray:
         for order in ORDERS:
-            found = [self.grams[g] for g in n_grams(word, order) if g in self.grams]
-            if found:
-                return np.add.reduce(self.gram_logs[found]) * (max(1.0, (len(word) + 2) / order) / 2 / len(found))
+            if order in self.grams:
+                table = self.grams[order]
+                found = np.array([table.place[g] for g in n_grams(word, order) if g in table.place], np.int64)
+                if len(found):
+                    return table.total(found, np.full(len(found), max(1.0, (len(word) + 2) / order) / 2 / len(found)))
         return np.zeros(len(self.langs))
 
-    def rows_of(self, words: Counter) -> list[int]:
-        """Places of the words in a table of logs: the known words, then unknown ones as they are met, bounded."""
-        known, rows, n = self.words, self.rows, len(self.words)
-        if self.logs is None or n + len(rows) + len(words) > len(self.logs):
-            rows.clear()
-            self.logs = np.concatenate([self.word_logs, np.zeros((max(CACHED, len(words)), len(self.langs)))])
-        out = []
-        for word in words:
-            row = known.get(word)
+    def unknown(self, words: dict[str, int]) -> np.ndarray:
+        """The weighted sum of the logs of unknown words, which are remembered as far as CACHE_BYTES reach."""
+        if not hasattr(self, "_seen"):
+            self._seen: dict[str, int] = {}
+            self._logs = np.zeros((max(1, CACHE_BYTES // (4 * len(self.langs))), len(self.langs)), np.float32)
+        out, rows, n = np.zeros(len(self.langs)), [], []
+        for word, k in words.items():
+            row = self._seen.get(word)
             if row is None:
-                row = rows.get(word)
-                if row is None:
-                    row = rows[word] = n + len(rows)
-                    self.logs[row] = self.back_off(word)
-            out.append(row)
-        return out
+                if len(self._seen) == len(self._logs):
+                    out += np.array(n, np.float64) @ self._logs[rows]
+                    rows, n = [], []
+                    self._seen.clear()
+                row = self._seen[word] = len(self._seen)
+                self._logs[row] = self.back_off(word)
+            rows.append(row)
+            n.append(k)
+        return out + np.array(n, np.float64) @ self._logs[rows]
 
     def predict(self, text: str | None) -> tuple[str, float]:
-        counts = Counter(WORD.findall((text or "").lower()))
+        counts = words_of(text)
         if not counts or not self.langs:
             return NONE, 0.0
-        rows = self.rows_of(counts)
-        total = np.fromiter(counts.values(), np.float64, len(rows)) @ self.logs[rows]
+        place = self.words.place
+        known = [(place[w], n) for w, n in counts.items() if w in place]
+        total = self.words.total(*(np.array(x) for x in zip(*known, strict=True))) if known else np.zeros(len(self.langs))
+        if len(known) < len(counts):
+            total = total + self.unknown({w: n for w, n in counts.items() if w not in place})
         best = int(total.argmax())
         return self.langs[best], float(1 / np.exp(np.clip(total - total[best], -700, 0)).sum())
 
@@ -120,32 +150,40 @@ def gram_counts(counts: Iterable[tuple[str, str, int]]) -> list[tuple[str, str,
     return [(*x, n) for x, n in found.items()]
 
 
-def log_shares(counts: np.ndarray) -> np.ndarray:
-    """Smoothed log frequencies by language (column)."""
-    return np.log((counts + 0.5) / (counts.sum(0) + 0.5 * len(counts)))
-
-
-def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", folds: int = 5, per_lang: int = PER_LANG) -> Model:
+def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", folds: int = 5, per_lang: int = PER_LANG, most_words: int = MOST_WORDS, most_grams: int = MOST_GRAMS) -> Model:
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out("doc_id", folds))
-    rows = sampled(rows, F.concat(F.col("doc_id").cast("string"), F.lit(":lang")), "lang", per_lang, MOST_LANGS)
-    words = rows.select("lang", F.explode(F.regexp_extract_all(F.lower(spread(F.col("text"), SAMPLE_CHARS)), F.lit(r"\p{L}+"), F.lit(0))).alias("word"))
+    rows = sampled(rows, F.concat(F.col("doc_id").cast("string"), F.lit(":lang")), "lang", per_lang)
     bounded_batches(docs.sparkSession)
-    counts = cut(words.groupBy("lang", "word").agg(F.count("*").alias("n")))
 
-    def run(batches):
+    def batch_of(found: Iterable[tuple[str, str, int]], name: str) -> pa.RecordBatch:
+        columns = [*zip(*found, strict=True)] or [(), (), ()]
+        return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(columns, (pa.string(), pa.string(), pa.int64()), strict=True)], ["lang", name, "n"])
+
+    def by_word(batches):
         for batch in batches:
-            found = gram_counts(zip(*(x.to_pylist() for x in batch.columns), strict=True))
-            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], t) for k, t in enumerate((pa.string(), pa.string(), pa.int64()))], ["lang", "gram", "n"])
+            found: Counter = Counter()
+            for lang, text in zip(*(x.to_pylist() for x in batch.columns), strict=True):
+                for word, n in words_of(text).items():
+                    found[lang, word] += n
+            yield batch_of(((*x, n) for x, n in found.items()), "word")
+
+    def by_gram(batches):
+        for batch in batches:
+            yield batch_of(gram_counts(zip(*(x.to_pylist() for x in batch.columns), strict=True)), "gram")
+
+    def summed(rows: DataFrame, name: str) -> DataFrame:
+        return rows.groupBy("lang", name).agg(F.sum("n").alias("n"))
 
     def frequent(rows: DataFrame, name: str, most: int, *keys) -> list[tuple]:
         rank = F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc("n"), name))
         return [tuple(r) for r in rows.withColumn("rank", rank).filter(F.col("rank") <= most).select("lang", name, "n").orderBy("lang", name).collect()]
 
-    # tables of MOST_WORDS and MOST_GRAMS rows at most reach the driver
+    counts = cut(summed(rows.select("lang", spread(F.col("text"), SAMPLE_CHARS).alias("text")).mapInArrow(by_word, "lang string, word string, n long"), "word"))
+    # tables of most_words and most_grams rows at most, or one for each language, reach the driver
     langs = max(1, counts.select("lang").distinct().count())
-    grams = counts.mapInArrow(run, "lang string, gram string, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-    top = frequent(counts.filter(F.length("word") < LONGEST), "word", max(1, MOST_WORDS // langs), "lang")
-    return Model.learn(top, frequent(grams, "gram", max(1, MOST_GRAMS // (langs * len(ORDERS))), "lang", F.length("gram")))
+    grams = summed(counts.mapInArrow(by_gram, "lang string, gram string, n long"), "gram")
+    top = frequent(counts.filter(F.length("word") < LONGEST), "word", max(1, most_words // langs), "lang")
+    return Model.learn(top, frequent(grams, "gram", max(1, most_grams // (langs * len(ORDERS))), "lang", F.length("gram")))
 
 
 def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -7,10 +7,11 @@ Every text is encoded and closed with an end id; one longer than a row is split
 without loss. Pieces go, longest first, to the fullest row that still has room; a segment tree over the
 possible capacities finds that row in O(log row length). A shard gives a matrix of ids (one binary row for
 each packed row, little endian, padded), with cumulative segment lengths and position ids that start again at 0
-in each segment.
+in each segment. Rows are cut off at nothing: the bounds on shards and parts only say which pieces are packed
+together, so that a part ends with rows that pieces of the next one might have filled.
 
 Null and empty texts give a piece that holds the end id alone; null ids stay null in doc_ids; repeated rows are
-packed each; an empty table gives no rows. Ties in length go by (doc_id, hash of text, piece), nulls first,
+packed each; ids of any type stay as they are; an empty table gives no rows. Ties in length go by (doc_id, hash of text, piece), nulls first,
 so the result doesn't depend on how the input is split (for rows without an id it may). Columns other than the two named ones are ignored.
 """
 
@@ -21,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from .bpe import coder
 from .common import texts
@@ -79,7 +81,10 @@ def best_fit_decreasing(lengths: list[int], row: int) -> list[list[int]]:
     return packed
 
 
-SCHEMA = "shard int, part int, row int, n_tokens int, doc_ids array<bigint>, pieces array<int>, cu_seqlens array<int>, input_ids binary, position_ids binary"
+def schema(doc_id: T.DataType) -> T.StructType:
+    """Of packed rows; doc_ids keep the type of the ids."""
+    columns = [(x, T.IntegerType()) for x in ("shard", "part", "row", "n_tokens")] + [("doc_ids", T.ArrayType(doc_id)), ("pieces", T.ArrayType(T.IntegerType())), ("cu_seqlens", T.ArrayType(T.IntegerType())), ("input_ids", T.BinaryType()), ("position_ids", T.BinaryType())]
+    return T.StructType([T.StructField(*x) for x in columns])
 
 
 def pack(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", row: int = ROW, end: int = END, shard_bytes: int = SHARD_BYTES) -> DataFrame:
@@ -120,13 +125,12 @@ def pack(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_
         if parts:
             yield packed(now, part, owners, numbers, parts)
 
-    names = [x.split()[0] for x in SCHEMA.split(", ")]
-    i32, i64 = pa.int32(), pa.int64()
-    arrow = pa.schema(list(zip(names, [i32, i32, i32, i32, pa.list_(i64), pa.list_(i32), pa.list_(i32), pa.binary(), pa.binary()], strict=True)))
+    columns = schema(rows.schema["doc_id"].dataType)
+    names, arrow = columns.names, to_arrow_schema(columns)
     place = F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id() % 4096)
-    dealt = rows.select(F.col("doc_id").cast(T.LongType()), "text", F.pmod(F.xxhash64("doc_id", "text", place), F.lit(shards)).cast("int").alias("shard"))
+    dealt = rows.select("doc_id", "text", F.pmod(F.xxhash64("doc_id", "text", place), F.lit(shards)).cast("int").alias("shard"))
     dealt = dealt.withColumn("__h", F.xxhash64("text"))  # ties of an id go by a hash of the text
-    return dealt.repartition("shard").sortWithinPartitions("shard", F.col("doc_id").asc_nulls_first(), "__h").mapInArrow(run, SCHEMA)
+    return dealt.repartition("shard").sortWithinPartitions("shard", F.col("doc_id").asc_nulls_first(), "__h").mapInArrow(run, columns)
 
 
 def write_bins(packed: DataFrame, path: str) -> DataFrame:

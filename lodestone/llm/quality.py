@@ -132,7 +132,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     other half, which they haven't seen, the calibration; it is weighted by the true shares of the labels."""
     known = labels.select(F.col(id_col).alias("doc_id"), F.col(label_col).cast("int").alias("y")).filter(F.col("y").isin(0, 1) & ~held_out("doc_id", folds)).distinct()
     shares = {y: n for y, n in known.groupBy("y").count().collect()}
-    ids = sampled(known, F.concat(F.col("doc_id").cast("string"), F.lit(":quality")), "y", per_class, 2)
+    ids = sampled(known, F.concat(F.col("doc_id").cast("string"), F.lit(":quality")), "y", per_class)
     # two labels of per_class ids each: bounded by the parameter, so it may be sent to every executor
     rows = texts(docs, id_col, text_col).filter("text != ''").join(F.broadcast(ids), "doc_id")
     found = rows.select("doc_id", spread(F.col("text"), SAMPLE_CHARS).alias("text"), "y").collect()

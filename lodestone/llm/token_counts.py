@@ -4,7 +4,9 @@ Short texts go to the library as they are. A text over chunk characters is encod
 offsets. Two neighbours are spliced at a place inside of their overlap where both start a token and that is
 proven stable: the pair of characters around it occurs inside of no piece of the vocabulary, so no merge can
 ever cross it, and the tokens on its two sides don't depend on each other. Where an overlap holds no such
-place it is widened to the left, and in the end the chunk is encoded anew together with the next one.
+place it is widened to the left, and in the end the chunk is encoded anew together with the next one. Models of
+which this isn't proven (that normalise the text, merge otherwise than by byte pairs, or have no bytes for unknown
+characters) take no chunks: their texts are encoded in one piece.
 
 Null and empty texts have 0 tokens; repeated rows give repeated results; an empty table gives an empty one.
 Columns other than the two named ones are ignored.
@@ -12,6 +14,7 @@ Columns other than the two named ones are ignored.
 
 from __future__ import annotations
 
+import sys
 from bisect import bisect_left
 from functools import lru_cache
 
@@ -26,13 +29,47 @@ from .common import field, texts
 CHUNK, OVERLAP = 50_000, 256
 
 
+def fields(data: bytes) -> dict[int, list]:
+    """The fields of a protocol buffers message, by number: integers, and bytes as they are."""
+
+    def number(at: int) -> tuple[int, int]:
+        value = shift = 0
+        while True:
+            value |= (data[at] & 127) << shift
+            shift += 7
+            at += 1
+            if data[at - 1] < 128:
+                return value, at
+
+    out: dict[int, list] = {}
+    at = 0
+    while at < len(data):
+        tag, at = number(at)
+        if tag & 7 == 0:
+            value, at = number(at)
+        else:
+            size, at = number(at) if tag & 7 == 2 else (8 if tag & 7 == 1 else 4, at)
+            value, at = data[at : at + size], at + size
+        out.setdefault(tag >> 3, []).append(value)
+    return out
+
+
+def can_splice(model: bytes) -> bool:
+    """Whether the proof below holds for a model: byte pair merges, text taken as it is, spaces kept as their own
+    sign, bytes for unknown characters (numbers of fields as in the library's published format)."""
+    parts = fields(model)
+    trainer, normalizer = (fields(parts.get(k, [b""])[-1]) for k in (2, 3))
+    last = lambda x, k, other: x.get(k, [other])[-1]
+    return last(trainer, 3, 1) == 2 and last(trainer, 35, 0) == 1 and not last(normalizer, 2, b"") and not last(normalizer, 4, 1) and bool(last(normalizer, 5, 1)) and not last(trainer, 24, 0)
+
+
 class PieceCounter:
     def __init__(self, path: str, chunk: int = CHUNK, overlap: int = OVERLAP):
         import sentencepiece
 
         self.model = sentencepiece.SentencePieceProcessor(model_file=path)
         self.inside = {x[i : i + 2] for k in range(self.model.get_piece_size()) for x in [self.model.id_to_piece(k)] for i in range(len(x) - 1)}
-        self.chunk, self.overlap = chunk, overlap
+        self.chunk, self.overlap = chunk if can_splice(self.model.serialized_model_proto()) else sys.maxsize, overlap
 
     def stable(self, text: str, at: int) -> bool:
         return text[at - 1 : at + 1].replace(" ", "▁") not in self.inside

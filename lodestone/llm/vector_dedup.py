@@ -1,16 +1,17 @@
 """Near duplicates of embeddings by NN-descent, compared within equal labels only.
 
 Equal vectors of a label become one node first. The neighbour graph starts from random hyperplane buckets, cut
-to blocks of bounded size; the mean of a label is taken off its unit vectors before. Then, round by round, each node brings its neighbours and reverse neighbours together
-(neighbours of neighbours), and every one of them that finds a nearer neighbour there takes it into its list.
-A list that is full of links is saturated and is enlarged, up to LARGEST. Rounds end when hardly any list
-changes; then the recall is audited: nodes are compared with all others, and the mean over those that have
+to blocks of bounded size; the mean of a label is taken off its unit vectors before. Then, round by round, each
+node brings its neighbours and reverse neighbours together (neighbours of neighbours), and every one of them that
+finds a nearer neighbour there takes it into its list. A list that is full of links is saturated and is enlarged,
+up to LARGEST. Rounds end when hardly any list changes; then the recall is audited: nodes are compared with all others, and the mean over those that have
 links of the share found must reach the target, once among nodes of components of more than NEIGHBOURS nodes
 and once among all other nodes. Each of the two samples begins with about AUDITED nodes and grows until ENOUGH
 of them have links, or to all. While the recall is below the target further rounds follow, and the next audit
 takes other nodes; all links that an audit sees are kept. After 3 times ROUNDS rounds the nodes of a sample that
 still misses the target are compared with all others, to the last one: so no state is returned that has not met
-the target, but that last way costs a product for each pair of such a node and a node of its label. Edges with a cosine of the threshold or more, in double precision, are links.
+the target, but that last way costs a product for each pair of such a node and a node of its label. Edges with
+a cosine of the threshold or more, in double precision, are links; a cosine that equals it is one.
 
 Lists are bounded, links are not: in each component of links all pairs are then counted exactly, block against
 block inside of tasks, so groups larger than any list keep all their links.
@@ -32,7 +33,7 @@ from pyspark.sql import types as T
 from .common import bounded_batches, cut, field, split_join
 from .components import by_cell, by_group, connected_components, forest, placed
 
-THRESHOLD, NEIGHBOURS, LARGEST, REVERSE, TABLES, BUCKET, ROUNDS, SETTLED = 0.93, 10, 40, 10, 8, 200, 4, 0.01
+THRESHOLD, NEIGHBOURS, LARGEST, REVERSE, TABLES, BITS, BUCKET, ROUNDS, SETTLED = 0.93, 10, 40, 10, 8, 30, 200, 4, 0.01
 BLOCK, AUDITED, ENOUGH, RECALL, SEED = 1024, 256, 128, 0.97, 7
 SENT_BYTES, SLICE = 16_000_000, 4096  # of audited vectors sent at once, and compared with a batch at once
 
@@ -53,13 +54,13 @@ def nodes(vectors: DataFrame, id_col: str, vector_col: str, label_col: str) -> t
             for vec_id, label, vec in zip(*(x.to_pylist() for x in batch.columns), strict=True):
                 ok = vec_id is not None and label is not None and vec and None not in vec
                 x = np.asarray(vec, np.float64) if ok else np.zeros(0)
-                with np.errstate(over="ignore"):
-                    norm = float(np.sqrt((x * x).sum()))
-                if not ok or not np.isfinite(x).all() or not 0 < norm < np.inf:
+                most = np.abs(x).max() if ok else 0.0
+                if not ok or not np.isfinite(x).all() or not most:
                     for out in (keys, widths, vecs):
                         out.append(None)
                     continue
-                raw = (x + 0.0).tobytes()
+                # by a power of two, so exact: squares of very large or small components stay in range
+                raw = (np.ldexp(x, -int(np.frexp(most)[1])) + 0.0).tobytes()
                 keys.append(xxhash.xxh3_128_digest(raw + str(label).encode()))
                 widths.append(len(x))
                 vecs.append(raw)
@@ -131,8 +132,8 @@ def signed(points: DataFrame, partitions: int) -> DataFrame:
             widths, sizes, totals, vecs = (batch.column(k).to_pylist() for k in range(2, 6))
             for (width,), at in places_of(widths).items():
                 mean = np.array([np.frombuffer(totals[k], np.float64) / sizes[k] for k in at])
-                bits = (unit([vecs[k] for k in at]) - mean) @ directions(width, TABLES * 16) > 0
-                for k, row in zip(at, (bits.reshape(-1, TABLES, 16) @ (1 << np.arange(16))).tolist(), strict=True):
+                bits = (unit([vecs[k] for k in at]) - mean) @ directions(width, TABLES * BITS) > 0
+                for k, row in zip(at, (bits.reshape(-1, TABLES, BITS) @ (1 << np.arange(BITS))).tolist(), strict=True):
                     signs[k] = row
             yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(signs, pa.list_(pa.int32()))], ["nid", "label", "width", "size", "signs"])
 
@@ -142,7 +143,7 @@ def signed(points: DataFrame, partitions: int) -> DataFrame:
 
 def start(points: DataFrame, partitions: int, most: int) -> DataFrame:
     """First neighbours: the best of each node in the blocks of its buckets, for every table."""
-    bits = F.least(F.lit(16), F.greatest(F.lit(0), F.ceil(F.log2(F.col("size") / BUCKET)))).cast("int")
+    bits = F.least(F.lit(BITS), F.greatest(F.lit(0), F.ceil(F.log2(F.col("size") / BUCKET)))).cast("int")
     flat = cut(signed(points, partitions)).select("nid", "label", "width", F.posexplode("signs").alias("t", "sign"), bits.alias("bits"))
     flat = flat.withColumn("bucket", F.pmod(F.col("sign"), F.expr("shiftleft(1, bits)")))
     keys = ["label", "width", "t", "bucket"]
@@ -176,7 +177,9 @@ def step(graph: DataFrame, points: DataFrame, partitions: int, neighbours: int,
     rank = F.row_number().over(Window.partitionBy("other").orderBy(F.desc("sim"), "node"))
     back = graph.withColumn("rank", rank).filter(F.col("rank") <= reverse).select(F.col("other").alias("node"), F.col("node").alias("other"), "new")
     near = graph.withColumn("r", F.row_number().over(Window.partitionBy("node").orderBy(F.desc("new"), F.desc("sim"), "other"))).filter(F.col("r") <= neighbours).select("node", "other", "new")
-    met = near.union(back).groupBy("node", "other").agg(F.max("new").alias("new"))
+    met = near.union(back).repartition(partitions, "node").groupBy("node", "other").agg(F.max("new").alias("new"))
+    # a node among whose neighbours nothing is new finds nothing: its vectors aren't fetched
+    met = met.withColumn("any", F.max("new").over(Window.partitionBy("node"))).filter("any").drop("any")
     full = F.when(F.count("*") < neighbours, -2.0).when((F.count_if(F.col("sim") >= threshold) >= neighbours) & (F.count("*") < largest), F.lit(threshold)).otherwise(F.min("sim"))
     ends = graph.groupBy("node").agg(full.alias("least")).withColumnRenamed("node", "nid")
     known = points.select("nid", "vec").join(ends, "nid")

@@ -1,4 +1,5 @@
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,8 +9,17 @@ from lodestone.llm import jaccard as J
 DDL = "doc_id long, text string, key string, __jid int, component string"
 
 
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def grams(text, size=5):
+    """The n-grams of a text as tuples of words: written apart from the code under test."""
+    w = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").translate(LOWER))
+    return frozenset(tuple(w[k : k + size]) for k in range(max(1, len(w) - size + 1))) if w else frozenset()
+
+
 def brute(rows, threshold=0.8):
-    sets = [frozenset(J.n_grams(t).tolist()) for _, t in rows]
+    sets = [grams(t) for _, t in rows]
     top, n = list(range(len(rows))), [0] * len(rows)
     place = sorted(range(len(rows)), key=lambda k: (rows[k][0] is None, rows[k][0] or 0))
 
@@ -59,6 +69,47 @@ def test_against_all_pairs(spark, groups):
     assert sorted(r.doc_id for r in kept.collect()) == sorted({r.class_id for r in got})
 
 
+def chain(n, step=3, width=60):
+    """Texts that share most words with the next ones, and none with those further on: candidates in one chain."""
+    w = [f"w{k}" for k in range(n * step + width)]
+    return [(k, " ".join(w[k * step : k * step + width])) for k in range(n)]
+
+
+def verified(spark, rows, block):
+    bands, r = J.banding(0.8, J.RECALL, J.ROWS)
+    signed = J.signatures(frame(spark, rows), "doc_id", "text", 5, bands, r)
+    met = J.meetings(signed.select("bands", F.monotonically_increasing_id().alias("node")))
+    component = J.connected_components(met.filter("node != hub"), "node", "hub")
+    return J.units(met, component, block)
+
+
+def test_chains_go_by_bucket(spark):
+    rows = chain(160)
+    got = J.links(frame(spark, rows), block=8).collect()
+    assert sorted(((r.doc_id, r.n_links, r.class_id) for r in got), key=str) == brute(rows)
+    sent = []
+    for n in (200, 400):
+        u = verified(spark, chain(n), 8).select("unit", "band", F.col("blocks").alias("k")).cache()
+        assert u.filter("band < 0").count() == 0
+        sent.append(u.agg(F.sum("k")).first()[0])
+    assert sent[1] < 2.3 * sent[0] < 2.3 * 200 * 31 * 2
+
+
+def test_copies_go_as_one_unit(spark):
+    rows = corpus(3, [60])
+    u = verified(spark, rows, 8).select("unit", "band", "node").collect()
+    assert {r.band for r in u} == {-1} and len(u) == len({r.node for r in u})
+
+
+def test_first_common_band():
+    import numpy as np
+
+    bands = np.array([[1, 2, 3], [1, 5, 3], [9, 2, 3], [7, 8, 9]])
+    a, b = np.array([0, 0, 0, 1]), np.array([1, 2, 3, 2])
+    for band, want in ((-1, [1, 1, 0, 1]), (0, [1, 0, 0, 0]), (1, [0, 1, 0, 0]), (2, [0, 0, 0, 1])):
+        assert J.common_bands(bands, a, b, band).tolist() == [bool(x) for x in want]
+
+
 def test_odd_rows(spark):
     text = "one two three four five six seven eight nine ten"
     rows = [(5, text), (5, text), (3, text.upper()), (None, text), (None, text), (7, None), (8, ""), (9, "?!"), (10, "a b"), (11, "A, b!"), (12, "word " * 50_000), (None, None), (13, "other words " * 3), (None, "alone with no id at all here"), (14, None)]
