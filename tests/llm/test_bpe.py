@@ -50,3 +50,11 @@ def test_rows(spark):
     back = bpe.decode(encoded.drop("decoded"), PATH, P.PATTERN).collect()
     assert sorted(bytes(r.decoded) for r in back) == sorted((x[1] or "").encode() for x in data)
     assert bpe.encode(df.limit(0), PATH, P.PATTERN).count() == 0
+
+
+def test_patterns_without_a_proof_take_whole_texts():
+    """A sign may take the line end behind it here, so a cut ahead of a line end would part a match."""
+    pattern = r"""[^\s\p{L}\p{N}]+[\r\n]*| ?\p{L}+|\s+|\p{N}"""
+    tree = bpe.TreeBPE(PATH, pattern, 4)
+    for text in ("a!\nb " * 30, "...\r\n" * 20):
+        assert tree.encode(text) == tree.coder.encode_ordinary(text)

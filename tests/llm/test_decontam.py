@@ -66,6 +66,43 @@ def test_longest_matches(spark):
     assert sorted(got) == [(1, "7", 0, 2, 6), (1, "7", 0, 9, 4)]
 
 
+def test_matches_belong_to_the_text_of_one_row(spark):
+    """An item id may stand for several texts: no match joins words of two of them."""
+    d, b = frames(spark, [(1, "a b c d e f"), (2, "x y z d e f")], [(7, "a b c"), (7, "x y z d e f"), (7, "a b c"), (8, "a b c")])
+    assert sorted(tuple(r) for r in D.matches(d, b, width=3).collect()) == [(1, "7", 0, 0, 3), (1, "7", 0, 0, 3), (1, "7", 3, 3, 3), (1, "8", 0, 0, 3), (2, "7", 0, 0, 6)]
+    assert {(r.doc_id, r.n_hit, tuple(r["items"])) for r in D.annotate(d, b, width=3).collect()} == {(1, 6, ("7", "8")), (2, 6, ("7",))}
+
+
+def test_merged_in_slices(monkeypatch):
+    docs, bench = sample(2)
+    windows, found = D.Windows([([str(k)], t) for k, t in dict(bench).items() if t], 4), [D.words(t) for _, t in docs]
+
+    def runs():
+        return sorted(x for part in D._located(windows, found)[0] for x in zip(*(y.tolist() for y in part), strict=True))
+
+    whole = runs()
+    for n in (1, 3, 17):
+        monkeypatch.setattr(D, "AT_ONCE", n)
+        assert runs() == whole and whole
+
+
+def test_very_long_text(spark):
+    """One text of 400,000 words that holds a passage far inside, and many times."""
+    passage = " ".join(f"p{k}" for k in range(15))
+    long = " ".join(f"w{k % 5000}" for k in range(200_000)) + f" {passage} " + " ".join(f"v{k % 7}" for k in range(200_000))
+    d, b = frames(spark, [(1, long), (2, f"{passage} " * 2000)], [(5, passage)])
+    got = {r.doc_id: (r.n_words, r.n_hit) for r in D.annotate(d, b).collect()}
+    assert got == {1: (400_015, 15), 2: (30_000, 30_000)}
+    assert D.matches(d, b).filter("doc_id = 1").collect()[0].doc_word == 200_000
+
+
+def test_what_is_sent_is_bounded():
+    rng = random.Random(1)
+    items = [([str(k)], " ".join(f"w{rng.randrange(50_000)}" for _ in range(200))) for k in range(100)]
+    w = D.Windows(items)
+    assert w.n_bytes() <= 100 * 200 * (4 * w.width + 64) and len(__import__("pickle").dumps(w)) < 1.5 * w.n_bytes()
+
+
 def test_more_than_256_words(spark):
     """Numbers of words whose last byte is zero."""
     bench = [(1, " ".join(f"w{k}" for k in range(600)))]

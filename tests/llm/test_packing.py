@@ -90,3 +90,10 @@ def test_bins(spark, tmp_path):
     assert len(list((tmp_path / "bins").iterdir())) == 3 * len(n)
     with pytest.raises(IndexError):
         packing.CapacityTree(4).put(0, 9)
+
+
+def test_ids_keep_their_type(spark):
+    df = spark.createDataFrame([("doc-a", "one two"), (None, "three"), ("doc-b", "one " * 50)], "doc_id string, text string")
+    got = packing.pack(df, PATH, P.PATTERN, row=32)
+    assert got.schema["doc_ids"].dataType.elementType.simpleString() == "string"
+    assert {x for r in got.collect() for x in r.doc_ids} == {"doc-a", "doc-b", None}

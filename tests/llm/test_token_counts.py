@@ -33,3 +33,18 @@ def test_rows(spark):
     n = lambda x: len(model.encode(x or ""))
     assert got == sorted(((d, len((t or "").encode()), n(t), n(t) > 4096) for d, t, *_ in data), key=str)
     assert C.count_tokens(df.limit(0), PATH).count() == 0
+
+
+def test_models_without_a_proof_take_whole_texts():
+    """Merges by byte pairs, no normalisation, bytes for unknown characters: one of these missing is enough."""
+    number = lambda field, value: bytes([*varint(field << 3), *varint(value)])
+    text = lambda field, value: bytes([*varint(field << 3 | 2), *varint(len(value)), *value])
+
+    def varint(n):
+        return [n] if n < 128 else [n & 127 | 128, *varint(n >> 7)]
+
+    trainer, plain = number(3, 2) + number(35, 1), number(4, 0)
+    model = lambda t, n: text(1, b"\n\x01a") + text(2, t) + text(3, n)
+    assert token_counts.can_splice(model(trainer, plain))
+    for t, n in ((number(3, 1) + number(35, 1), plain), (number(3, 2), plain), (trainer, b""), (trainer, plain + text(2, b"map")), (trainer, plain + number(5, 0))):
+        assert not token_counts.can_splice(model(t, n))
