@@ -6,6 +6,11 @@ text it resembles, and the size without a dictionary how repetitive it is. The s
 the text (runs of lower case, upper case and digits stand as one character each, signs stay), which doesn't
 depend on its language. A logistic regression on these sizes turns them into a calibrated probability of label 1.
 
+The differences are the evidence; the size without a dictionary and the length of the text calibrate them: a
+difference of the same share means less in a short text, and in one that repeats itself, as either dictionary then
+helps with its first lines only. Differences alone reach 94.8 % on held-out rows, all features 99.0 % (825 rows of
+the tables at sf 0.1).
+
 Learning uses labelled rows outside of the held-out fold only: about PER_CLASS rows of each label, chosen by a
 hash of their id, with SAMPLE_CHARS characters of each at most (evenly spaced parts of longer ones), so what
 reaches the driver is bounded whatever the size of the input. Every text is scored whole.

@@ -45,6 +45,6 @@ def test_models_without_a_proof_take_whole_texts():
 
     trainer, plain = number(3, 2) + number(35, 1), number(4, 0)
     model = lambda t, n: text(1, b"\n\x01a") + text(2, t) + text(3, n)
-    assert token_counts.can_splice(model(trainer, plain))
+    assert C.can_splice(model(trainer, plain))
     for t, n in ((number(3, 1) + number(35, 1), plain), (number(3, 2), plain), (trainer, b""), (trainer, plain + text(2, b"map")), (trainer, plain + number(5, 0))):
-        assert not token_counts.can_splice(model(t, n))
+        assert not C.can_splice(model(t, n))
