@@ -22,11 +22,9 @@ an empty result. Columns other than the named ones are ignored, and lang is read
 from __future__ import annotations
 
 import re
-import sys
 from collections import Counter, defaultdict
 from collections.abc import Iterable
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -40,15 +38,17 @@ PER_LANG, SAMPLE_CHARS, MOST_WORDS, MOST_GRAMS, LONGEST, ORDERS, NONE = 1500, 16
 CACHE_BYTES = 20_000_000  # of logs of unknown words that a worker remembers
 
 
-@lru_cache(maxsize=1)
-def letters() -> re.Pattern[str]:
-    """Runs of letters: of what `re` takes for a word's characters without digits, numbers such as one half go, too."""
-    numbers = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isalnum() and not c.isalpha() and not c.isdecimal())
-    return re.compile(f"[^\\W\\d_{numbers}]+")
+WORD = re.compile(r"[^\W\d_]+")  # letters, and numbers that are no digits, such as one half
 
 
 def words_of(text: str | None) -> Counter:
-    return Counter(letters().findall((text or "").lower()))
+    """The runs of letters of the text in lower case, with how often they occur."""
+    found = Counter(WORD.findall((text or "").lower()))
+    for mixed in [w for w in found if not w.isalpha()]:
+        n = found.pop(mixed)
+        for w in "".join(c if c.isalpha() else " " for c in mixed).split():
+            found[w] += n
+    return found
 
 
 class Table:
@@ -66,6 +66,14 @@ class Table:
         self.base = np.log(0.5 / np.maximum(total, 0.5))
         self.more = (np.log(n + 0.5) - np.log(0.5)).astype(np.float32)
 
+    def mean(self, places: list[int]) -> np.ndarray:
+        """The mean, by language, of the logs of a few words."""
+        out = np.zeros(len(self.base))
+        for k in places:
+            a, b = self.start[k : k + 2]
+            out[self.lang[a:b]] += self.more[a:b]
+        return out / len(places) + self.base
+
     def total(self, places: np.ndarray, weights: np.ndarray) -> np.ndarray:
         """The weighted sum, by language, of the logs of the words at places."""
         start = self.start[places]
@@ -95,9 +103,9 @@ class Model:
         for order in ORDERS:
             if order in self.grams:
                 table = self.grams[order]
-                found = np.array([table.place[g] for g in n_grams(word, order) if g in table.place], np.int64)
-                if len(found):
-                    return table.total(found, np.full(len(found), max(1.0, (len(word) + 2) / order) / 2 / len(found)))
+                found = [table.place[g] for g in n_grams(word, order) if g in table.place]
+                if found:
+                    return table.mean(found) * (max(1.0, (len(word) + 2) / order) / 2)
         return np.zeros(len(self.langs))
 
     def unknown(self, words: dict[str, int]) -> np.ndarray:

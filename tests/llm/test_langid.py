@@ -35,7 +35,8 @@ def test_letters_alone_make_words():
     for text in ("\u00bd \u00b2 \u2167 \u2460", "\u0661\u0662", "_ __", "\u0301\u0903", "12\u00bd"):
         assert m.predict(text) == ("und", 0.0)
     for c in map(chr, range(0x30000)):
-        assert bool(G.letters().fullmatch(c)) == (unicodedata.category(c)[0] == "L"), hex(ord(c))
+        assert G.words_of(c).total() == (unicodedata.category(c.lower()[0])[0] == "L"), hex(ord(c))
+    assert G.words_of("ab\u00bdc d\u00b2 ab") == {"ab": 2, "c": 1, "d": 1}
 
 
 def brute(rows, texts):
