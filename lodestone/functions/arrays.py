@@ -2,10 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value) with value computed once, however often use reads it, also inside of its lambdas."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def above(values: Column, threshold: float) -> Column:
     return F.transform(values, lambda v: v > F.lit(threshold))
 
@@ -32,13 +39,20 @@ def smallest(values: Column, k: Column | int) -> Column:
 
 def stride_sample(values: Column, most: int) -> Column:
     """Every n-th value, n so that about `most` are left."""
-    stride = F.greatest(F.lit(1), F.floor(F.size(values) / F.lit(most)).cast("int"))
-    return F.filter(values, lambda _, i: i % stride == 0)
+
+    def every(xs: Column) -> Column:
+        stride = F.greatest(F.lit(1), F.floor(F.size(xs) / F.lit(most)).cast("int"))
+        return F.filter(xs, lambda _, i: i % stride == 0)
+
+    return let(values, every)
 
 
 def median(values: Column) -> Column:
-    s, n = F.array_sort(values), F.size(values)
-    return (F.get(s, ((n - 1) / 2).cast("int")).cast("double") + F.get(s, (n / 2).cast("int")).cast("double")) / F.lit(2.0)
+    def middle(s: Column) -> Column:
+        n = F.size(s)
+        return (F.get(s, ((n - 1) / 2).cast("int")).cast("double") + F.get(s, (n / 2).cast("int")).cast("double")) / F.lit(2.0)
+
+    return let(F.array_sort(values), middle)
 
 
 def transpose(rows: Column, width: int) -> Column:

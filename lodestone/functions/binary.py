@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import gzip
 import struct
 import zlib
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -36,11 +38,15 @@ def inflate(content: pd.Series) -> pd.Series:
     return content.map(lambda x: None if x is None else zlib.decompress(x, 31))
 
 
+@F.pandas_udf(T.BinaryType())
+def deflate(content: pd.Series) -> pd.Series:
+    """A gzip file of the content, the same bytes each time; null for null."""
+    return content.map(lambda x: None if x is None else gzip.compress(bytes(x), mtime=0))
+
+
 @F.pandas_udf(T.ArrayType(T.DoubleType()))
 def solve(matrix: pd.Series, right: pd.Series) -> pd.Series:
     """The solution of a square system given row by row (perspective transforms have 8 unknowns)."""
-    import numpy as np
-
     return pd.Series([np.linalg.solve(np.asarray(a, float).reshape(len(b), len(b)), np.asarray(b, float)).tolist() for a, b in zip(matrix, right, strict=True)])
 
 
@@ -67,21 +73,33 @@ def png_pixels(data: bytes) -> bytes:
         elif kind == b"IDAT":
             body += data[at + 8 : at + 8 + n]
         at += n + 12
-    raw, stride = zlib.decompress(body), width * channels
-    out, above = bytearray(), bytearray(stride)
+    stride = width * channels
+    lines = np.frombuffer(zlib.decompress(body), np.uint8).reshape(height, stride + 1)
+    out = np.zeros((height, stride), np.uint8)
+    above = np.zeros(stride, np.uint8)
     for y in range(height):
-        kind, line = raw[y * (stride + 1)], bytearray(raw[y * (stride + 1) + 1 : (y + 1) * (stride + 1)])
-        for x in range(stride):
-            a, b, c = (line[x - channels] if x >= channels else 0), above[x], (above[x - channels] if x >= channels else 0)
-            if kind == 4:
-                p = a + b - c
-                near = min((abs(p - a), 0, a), (abs(p - b), 1, b), (abs(p - c), 2, c))[2]
-            else:
-                near = (0, a, b, (a + b) // 2)[kind]
-            line[x] = (line[x] + near) & 255
-        out += line
-        above = line
-    return bytes(out)
+        kind, line = lines[y, 0], lines[y, 1:]
+        if kind == 0:
+            out[y] = line
+        elif kind == 1:  # by the pixel to the left: a running sum of each channel
+            out[y] = np.cumsum(line.reshape(width, channels), 0, dtype=np.uint8).ravel()
+        elif kind == 2:  # by the pixel above
+            out[y] = line + above
+        else:  # by both: pixel after pixel, the channels together
+            up, pixels, left = (x.reshape(width, channels).astype(np.int32) for x in (above, line, np.zeros(stride)))
+            a, c = np.zeros(channels, np.int32), np.zeros(channels, np.int32)
+            for x in range(width):
+                b = up[x]
+                if kind == 3:
+                    near = (a + b) // 2
+                else:
+                    pa, pb, pc = np.abs(b - c), np.abs(a - c), np.abs(a + b - 2 * c)
+                    near = np.where((pa <= pb) & (pa <= pc), a, np.where(pb <= pc, b, c))
+                left[x] = a = (pixels[x] + near) & 255
+                c = b
+            out[y] = left.ravel()
+        above = out[y]
+    return out.tobytes()
 
 
 @F.pandas_udf(T.BinaryType())

@@ -7,8 +7,26 @@ from pyspark.sql import functions as F
 
 
 def rounded(x: Column, digits: int) -> Column:
-    """Half to even on the decimal value, as scores are published (85.25 is 85.2)."""
-    return F.bround(x, digits)
+    """Rounded to the digits that are nearest to the binary value, exact ties to even.
+
+    bround() and round() go by the printed decimal, which often is a tie where the binary value is none. Here twice
+    x, scaled, is taken with the error of its product (Dekker, 1971): only where it is an odd integer is there a tie,
+    and the error says on which side of it the value lies."""
+    scale = 10.0**digits
+    half = F.lit(2.0 * scale)
+    product = x * half
+
+    def parts(v: Column) -> tuple[Column, Column]:
+        big = v * F.lit(134217729.0)
+        high = big - (big - v)
+        return high, v - high
+
+    (a, b), (c, d) = parts(x), parts(half)
+    error = ((a * c - product) + a * d + b * c) + b * d
+    down, even = F.floor(product / 2.0).cast("double"), F.rint(product / 2.0)
+    whole = F.when(product / 2.0 - down != 0.5, even).when(error > 0, down + 1.0).when(error < 0, down).otherwise(even)
+    # numbers as large as this have no digits to lose; those that are none stay as they are
+    return F.when(F.abs(product) < 2.0**53, whole / F.lit(scale)).otherwise(x)
 
 
 def score_100(x: Column) -> Column:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Subtags that mark traditional Chinese.
 TRADITIONAL = ["hant", "tw", "hk", "mo"]
@@ -107,9 +108,18 @@ def guarded_dir(path: Column, protected: list[str]) -> Column:
     return F.when(bad, F.raise_error(F.concat(F.lit("refused output folder: "), path))).otherwise(path)
 
 
-def under(base: Column, files: Column) -> Column:
-    """A map of names to paths with base ahead of every path that isn't null."""
-    return F.transform_values(files, lambda _, v: F.when(v.isNotNull(), url_join(base, v)))
+def under(base: Column, value: Column, kind: T.DataType) -> Column:
+    """value with base ahead of every text in it that names a file (has a suffix), at any depth of maps and structs;
+    all else stays, absolute paths too. kind is the type of value."""
+    if isinstance(kind, T.StringType):
+        named = value.rlike(r"[^/.][^/]*\.[^/.]+/?$") & ~F.startswith(value, F.lit("/"))
+        return F.when(F.coalesce(named, F.lit(False)), url_join(base, value)).otherwise(value)
+    if isinstance(kind, T.MapType):
+        return F.transform_values(value, lambda _, v: under(base, v, kind.valueType))
+    if isinstance(kind, T.StructType):
+        inner = F.struct(*[under(base, value[f.name], f.dataType).alias(f.name) for f in kind.fields])
+        return F.when(value.isNotNull(), inner)
+    return value
 
 
 def punctuated(text: Column, r: Column, cjk: Column) -> Column:

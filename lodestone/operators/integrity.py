@@ -7,7 +7,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lodestone.functions import text as X
 
 
 def verify_pack(manifest: DataFrame, files: DataFrame) -> DataFrame:
@@ -67,7 +66,8 @@ def missing_reverse(pairs: DataFrame, source: str = "source", target: str = "tar
 
 
 def languages(pairs: DataFrame, source: str = "source", target: str = "target") -> DataFrame:
-    """One row: the languages of all pairs, sorted, and their number. Distinct is partial before the shuffle."""
+    """One row: the languages of all pairs, sorted, and their number. Distinct is partial before the shuffle; the
+    list is one value by its nature, so the distinct languages must fit a task."""
     both = pairs.select(F.explode(F.array(source, target)).alias("l")).distinct()
     return both.agg(F.array_sort(F.collect_list("l")).alias("languages"), F.count("*").alias("n"))
 
@@ -85,7 +85,3 @@ def pair_report(pairs: DataFrame) -> DataFrame:
     """One row: the missing directions as text, null where none are."""
     names = F.array_sort(F.collect_list(F.concat_ws("-", "source", "target")))
     return missing_reverse(pairs).agg(F.nullif(F.array_join(names, ", "), F.lit("")).alias("missing"))
-
-
-def hub_name(path: Column) -> Column:
-    return X.name(path)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lodestone.functions import arrays as A
 from lodestone.functions import numbers as N
+from lodestone.operators import dataset as D
 
 
 def iou(a: Column, b: Column) -> Column:
@@ -30,17 +31,29 @@ def masked_mae(values: Column, truth: Column, mask: Column, least: int = 30) ->
 
 
 def pairwise_auc(rows: DataFrame, keys: list[str], label: str, score: str, gap: float = 0.25) -> DataFrame:
-    """Share of pairs, with labels more than gap apart, that the score orders right; ties count half; NaN without
-    such a pair. Exact over all pairs of a key without emitting any: rows of a key are first summed up by label
-    and score, and a running count over the scores does the rest for each label that is compared."""
-    n = rows.groupBy(*keys, label, score).agg(F.count("*").alias("n"))
-    per = n.groupBy(*keys, label).agg(F.array_sort(F.collect_list(F.struct(F.col(score).alias("s"), "n"))).alias("hist"))
-    left, right = per, per.select(*keys, F.col(label).alias("__low"), F.col("hist").alias("__hist"))
-    met = left.join(right, keys).filter(F.col(label) - F.col("__low") > gap)
-    wins = F.aggregate("hist", F.lit(0.0), lambda acc, x: acc + x["n"] * F.aggregate("__hist", F.lit(0.0), lambda a, y: a + y["n"] * F.when(y["s"] < x["s"], 1.0).when(y["s"] == x["s"], 0.5).otherwise(0.0)))
-    total = lambda c: F.aggregate(c, F.lit(0.0), lambda a, y: a + y["n"])
-    out = met.groupBy(*keys).agg(F.sum(wins).alias("__w"), F.sum(total("hist") * total("__hist")).alias("__t"))
-    return rows.select(*keys).distinct().join(out, keys, "left").select(*keys, F.when(F.col("__t") > 0, F.col("__w") / F.col("__t")).otherwise(F.lit(float("nan"))).alias("auc"))
+    """Share of pairs, with one label below the other minus gap, that the score orders right; ties count half; NaN
+    without such a pair. Exact over all pairs of a key without emitting any, and for any number of labels and scores.
+
+    Rows are first summed up by label and score. The labels below a label's bound are the first e of all in
+    order, which are at most log(labels) aligned ranges, one for each bit of e; every row stands in one range of each
+    length. Within a range, running counts over the scores tell how many rows each score beats."""
+    n = rows.filter(F.col(label).isNotNull() & F.col(score).isNotNull()).groupBy(*keys, F.col(label).cast("double").alias("__l"), F.col(score).alias("__s")).agg(F.count("*").alias("__c"))
+    labels = n.select("__l").distinct()
+    bits = max(1, labels.count().bit_length())
+    both = labels.select(F.col("__l").alias("v"), F.lit(1).alias("kind"), "__l").union(labels.select(F.col("__l") - gap, F.lit(0), "__l"))
+    ranked = D.running(both, [], ["v", "kind"], F.col("kind"), "rank")
+    places = ranked.groupBy("__l").agg(F.max(F.when(F.col("kind") == 1, F.col("rank"))).alias("__r"), F.max(F.when(F.col("kind") == 0, F.col("rank"))).alias("__e"))
+    at = n.join(places, "__l").withColumn("__j", F.explode(F.sequence(F.lit(0), F.lit(bits))))
+    base = at.withColumn("__k", F.expr("shiftright(__r, __j)")).filter("__k % 2 = 0").select(*keys, "__j", "__k", "__s", F.col("__c").alias("__w"), F.lit(0).cast("long").alias("__q"))
+    asked = at.filter("shiftright(__e, __j) % 2 = 1").select(*keys, "__j", F.expr("shiftright(__e, __j) - 1").alias("__k"), "__s", F.lit(0).cast("long").alias("__w"), F.col("__c").alias("__q"))
+    met = base.union(asked).groupBy(*keys, "__j", "__k", "__s").agg(F.sum("__w").alias("__w"), F.sum("__q").alias("__q"))
+    less = D.running(met, [*keys, "__j", "__k"], ["__s"], F.col("__w"), "__less")
+    wins = F.sum(F.col("__q") * (F.col("__less") + F.col("__w") / 2.0))
+    part = less.groupBy(*keys, "__j", "__k").agg(wins.alias("__x"), (F.sum("__q").cast("double") * F.sum("__w")).alias("__t"))
+    out = part.groupBy(*keys).agg(F.sum("__x").alias("__x"), F.sum("__t").alias("__t"))
+    all_ = rows.select(F.struct(*keys).alias("__key")).distinct()
+    found = all_.join(out.select(F.struct(*keys).alias("__key"), "__x", "__t"), "__key", "left")
+    return found.select(*[F.col(f"__key.`{k}`").alias(k) for k in keys], F.when(F.col("__t") > 0, F.col("__x") / F.col("__t")).otherwise(F.lit(float("nan"))).alias("auc"))
 
 
 def summary(rows: DataFrame, keys: list[str], value: str) -> DataFrame:
@@ -102,8 +115,21 @@ def stroke_ratio(mean_distance: Column, height: Column, ink: Column) -> Column:
     return F.when(ink < 20, F.lit(0.0)).otherwise(F.least(F.lit(2.0) * mean_distance / F.greatest(height, F.lit(1.0)), F.lit(0.45)))
 
 
+def stroke_of(coverage: Column, distance: Column, width: Column) -> Column:
+    """The stroke ratio of a flat coverage mask with the distance of each place to the nearest paper: the mean
+    distance over ink (coverage above one half), and the height of the rows that hold ink."""
+    def of(ink: Column) -> Column:
+        total = F.aggregate(ink, F.lit(0.0), lambda s, x: s + x["d"].cast("double"))
+        row = lambda x: F.floor(x / width)
+        height = row(F.array_max(ink)["i"]) - row(F.array_min(ink)["i"]) + 1
+        return F.when(F.size(ink) < 20, F.lit(0.0)).otherwise(stroke_ratio(total / F.size(ink), height.cast("double"), F.size(ink)))
+
+    places = F.transform(F.arrays_zip(coverage.alias("c"), distance.alias("d")), lambda x, i: F.struct(i.alias("i"), x["c"].alias("c"), x["d"].alias("d")))
+    return A.let(F.filter(places, lambda x: x["c"] > 0.5), of)
+
+
 def region_color(rows: DataFrame, keys: list[str], channels: list[str], digits: int = 4) -> DataFrame:
-    return rows.groupBy(*keys).agg(*[F.bround(F.avg(c), digits).alias(c) for c in channels])
+    return rows.groupBy(*keys).agg(*[N.rounded(F.avg(c), digits).alias(c) for c in channels])
 
 
 def throughput(count: Column, seconds: Column) -> Column:
@@ -115,29 +141,36 @@ def zipped(a: DataFrame, b: DataFrame, index: str) -> DataFrame:
     return a.join(b.withColumnsRenamed({c: f"other_{c}" for c in b.columns if c != index}), index)
 
 
-def samples(coverage: Column, width: Column) -> tuple[Column, Column]:
-    """Places of ink and of paper in a flat coverage mask: ink above 0.6; paper below 0.05 in rows with ink, or
-    else their k places of least coverage, empty where these are too few or inked. 400 places or so of each."""
-    place = F.sequence(F.lit(0), F.size(coverage) - 1)
-    at = lambda i: F.get(coverage, i)
-    row = lambda i: F.floor(i / width)
-    ink = F.filter(place, lambda i: at(i) > 0.6)
-    inked = F.array_distinct(F.transform(ink, row))
-    rows = F.filter(place, lambda i: F.array_contains(inked, row(i)))
-    bare = F.filter(rows, lambda i: at(i) < 0.05)
-    k = F.least(F.lit(400), F.greatest(F.lit(30), F.floor(F.size(rows) / 5).cast("int")), F.size(rows) - 1)
-    lowest = F.slice(F.array_sort(F.transform(rows, lambda i: F.struct(at(i).alias("c"), i.alias("i")))), F.lit(1), F.greatest(k, F.lit(0)))
+def samples(coverage: Column, width: Column) -> Column:
+    """struct<ink, paper>: places of ink and of paper in a flat coverage mask. Ink is above 0.6; paper below 0.05 in
+    rows with ink, or else their k places of least coverage, empty where these are too few or inked. 400 places or
+    so of each."""
     none = F.array().cast("array<int>")
-    usable = (k >= 30) & (F.coalesce(F.array_max(F.transform(lowest, lambda x: x["c"])), F.lit(1.0)) < 0.6)
-    paper = F.when(F.size(bare) >= 30, bare).when(usable, F.transform(lowest, lambda x: x["i"])).otherwise(none)
-    return A.stride_sample(ink, 400), A.stride_sample(paper, 400)
+    index = lambda xs: F.transform(xs, lambda x: x["i"])
+
+    def of_rows(rows: Column) -> Column:
+        bare = F.filter(rows, lambda x: x["c"] < 0.05)
+        k = F.least(F.lit(400), F.greatest(F.lit(30), F.floor(F.size(rows) / 5).cast("int")), F.size(rows) - 1)
+        lowest = F.slice(F.array_sort(rows), F.lit(1), F.greatest(k, F.lit(0)))
+        instead = A.let(lowest, lambda x: F.when((k >= 30) & (F.coalesce(F.array_max(x)["c"], F.lit(1.0)) < 0.6), index(x)).otherwise(none))
+        return F.when(F.size(bare) >= 30, index(bare)).otherwise(instead)
+
+    def of_places(places: Column) -> Column:
+        ink = F.filter(places, lambda x: x["c"] > 0.6)
+        rows = A.let(F.array_distinct(F.transform(ink, lambda x: x["r"])), lambda inked: F.filter(places, lambda x: F.array_contains(inked, x["r"])))
+        return F.struct(A.stride_sample(index(ink), 400).alias("ink"), A.stride_sample(A.let(rows, of_rows), 400).alias("paper"))
+
+    return A.let(F.transform(coverage, lambda c, i: F.struct(c.alias("c"), i.alias("i"), F.floor(i / width).alias("r"))), of_places)
 
 
 def legible_strip(coverage: Column, channels: Column, width: Column, height: Column) -> Column:
     """Whether ink and paper differ enough in some channel; channels are flat arrays like coverage."""
-    ink, paper = samples(coverage, width)
-    pick = lambda places: F.transform(channels, lambda c: F.transform(places, lambda i: F.get(c, i)))
-    return legible(pick(ink), pick(paper), height)
+    pick = lambda places: lambda channel: F.transform(places, lambda i: F.get(channel, i))
+
+    def of(x: Column) -> Column:
+        return A.let(F.struct(F.transform(x["ch"], pick(x["s"]["ink"])).alias("ink"), F.transform(x["ch"], pick(x["s"]["paper"])).alias("paper")), lambda y: legible(y["ink"], y["paper"], height))
+
+    return A.let(F.struct(samples(coverage, width).alias("s"), channels.alias("ch")), of)
 
 
 def parameter_count(shapes: Column) -> Column:

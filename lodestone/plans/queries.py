@@ -4,9 +4,7 @@ The tables hold no models or strips, so each operator works on a stand-in of the
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodestone.functions import arrays as A
@@ -15,29 +13,14 @@ from lodestone.functions import numbers as N
 from lodestone.functions import text as X
 from lodestone.operators import dataset as D
 from lodestone.operators import export as E
+from lodestone.operators import generation as G
 from lodestone.operators import integrity as I
 from lodestone.operators import metrics as M
 from lodestone.operators import registry as R
+from lodestone.plans.registered import ORACLE, QUERIES, query, table  # noqa: F401
 from lodestone.sinks import writers as K
 from lodestone.sources import literals as L
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE: dict[str, str] = {}
-
-
-def query(sql: str):
-    def add(f):
-        QUERIES[f.__name__] = f
-        ORACLE[f.__name__] = sql
-        return f
-
-    return add
-
-
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
 # Area A: registry and catalog
 
 VARIANTS = "CASE CAST(doc_id AS BIGINT) % 4 WHEN 0 THEN 'base' WHEN 1 THEN 'tiny' WHEN 2 THEN 'base-memory' ELSE 'other' END"
@@ -93,14 +76,14 @@ def unique_languages(spark, sf_dir):
 
 
 @query("""WITH c AS (SELECT c_custkey AS pos, CAST(c_nationkey AS VARCHAR) AS s, CAST(c_custkey % 25 AS VARCHAR) AS t, c_custkey % 2 = 0 AS bi, 'old' AS checksum FROM customer),
-g AS (SELECT s, t, score, checksum FROM (SELECT CAST(s_nationkey AS VARCHAR) AS s, CAST(s_suppkey % 25 AS VARCHAR) AS t, abs(s_acctbal) / 16384 AS score, s_name AS checksum, row_number() OVER (PARTITION BY s_nationkey, s_suppkey % 25 ORDER BY s_suppkey DESC) AS n FROM supplier) WHERE n = 1)
+g AS (SELECT s, t, score, checksum FROM (SELECT CAST(s_nationkey AS VARCHAR) AS s, CAST(s_suppkey % 25 AS VARCHAR) AS t, (s_suppkey * 7919 % 10001) / 10000 AS score, s_name AS checksum, row_number() OVER (PARTITION BY s_nationkey, s_suppkey % 25 ORDER BY s_suppkey DESC) AS n FROM supplier) WHERE n = 1)
 SELECT c.pos, c.s AS source_language, c.t AS target_language, 'v2' AS version, CASE WHEN a.s IS NOT NULL THEN a.checksum WHEN bi AND b.s IS NOT NULL THEN b.checksum ELSE c.checksum END AS checksum,
- CASE WHEN a.s IS NOT NULL THEN round_even(a.score * 100, 1) WHEN bi AND b.s IS NOT NULL THEN round_even(b.score * 100, 1) END AS score
+ CASE WHEN a.s IS NOT NULL THEN CAST(printf('%.1f', a.score * 100) AS DOUBLE) WHEN bi AND b.s IS NOT NULL THEN CAST(printf('%.1f', b.score * 100) AS DOUBLE) END AS score
 FROM c LEFT JOIN g a ON a.s = c.s AND a.t = c.t LEFT JOIN g b ON b.s = c.t AND b.t = c.s""")
 def catalog_merge(spark, sf_dir):
     text = lambda x: F.expr(x).cast("string")
     catalog = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("pos"), text("c_nationkey").alias("source_language"), text("c_custkey % 25").alias("target_language"), F.expr("c_custkey % 2 = 0").alias("bidirectional"), F.lit("v1").alias("version"), F.lit("old").alias("checksum"), F.lit(None).cast("double").alias("score"))
-    generated = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("pos"), text("s_nationkey").alias("source_language"), text("s_suppkey % 25").alias("target_language"), F.expr("abs(s_acctbal) / 16384").alias("score"), F.col("s_name").alias("checksum"))
+    generated = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("pos"), text("s_nationkey").alias("source_language"), text("s_suppkey % 25").alias("target_language"), F.expr("(s_suppkey * 7919 % 10001) / 10000").alias("score"), F.col("s_name").alias("checksum"))
     return R.catalog_merge(catalog, generated, "v2").drop("bidirectional")
 
 
@@ -357,24 +340,24 @@ def masked_mae(spark, sf_dir):
     return strips(spark, sf_dir).select("strip_id", F.round(N.skip_nan(mae), 9).alias("mae"))
 
 
-@query("""WITH s AS (SELECT label % 2 AS k, label / 10.0 AS t, round(CAST(embedding[1] AS DOUBLE), 2) AS p FROM embeddings)
+@query("""WITH s AS (SELECT label % 2 AS k, label / 10.0 AS t, list_max(embedding) AS p FROM embeddings)
 SELECT a.k AS k, round(sum(CASE WHEN a.p > b.p THEN 1.0 WHEN a.p = b.p THEN 0.5 ELSE 0.0 END) / count(*), 9) AS auc FROM s a JOIN s b ON a.k = b.k AND a.t - b.t > 0.25 GROUP BY a.k""")
 def pairwise_auc(spark, sf_dir):
-    rows = table(spark, sf_dir, "embeddings").select((F.col("label") % 2).alias("k"), (F.col("label") / F.lit(10.0)).alias("t"), F.round(F.col("embedding")[0].cast("double"), 2).alias("p"))
+    rows = table(spark, sf_dir, "embeddings").select((F.col("label") % 2).alias("k"), (F.col("label") / F.lit(10.0)).alias("t"), F.array_max("embedding").alias("p"))
     return M.pairwise_auc(rows, ["k"], "t", "p").select("k", F.round("auc", 9).alias("auc"))
 
 
-@query("""SELECT label, round(avg(v), 9) AS mean, round(quantile_cont(v, 0.05), 9) AS p5, round(quantile_cont(v, 0.95), 9) AS p95, round(max(v), 9) AS max FROM (SELECT label, CAST(embedding[1] AS DOUBLE) AS v FROM embeddings WHERE vec_id % 3 <> 0) GROUP BY label""")
+@query("""SELECT label, round(avg(v), 9) AS mean, round(quantile_cont(v, 0.05), 9) AS p5, round(quantile_cont(v, 0.95), 9) AS p95, round(max(v), 9) AS max FROM (SELECT label, CAST(list_max(embedding) AS DOUBLE) AS v FROM embeddings WHERE vec_id % 3 <> 0) GROUP BY label""")
 def nan_percentile(spark, sf_dir):
-    v = F.when(F.col("vec_id") % 3 == 0, F.lit(float("nan"))).otherwise(F.col("embedding")[0].cast("double"))
+    v = F.when(F.col("vec_id") % 3 == 0, F.lit(float("nan"))).otherwise(F.array_max("embedding").cast("double"))
     s = M.summary(table(spark, sf_dir, "embeddings").select("label", v.alias("v")), ["label"], "v")
     return s.select("label", *[F.round(c, 9).alias(c) for c in ("mean", "p5", "p95", "max")])
 
 
-@query("""SELECT vec_id, round(greatest(abs(list_aggregate(CAST(embedding[1:15] AS DOUBLE[]), 'median') - list_aggregate(CAST(embedding[33:47] AS DOUBLE[]), 'median')), abs(list_aggregate(CAST(embedding[16:31] AS DOUBLE[]), 'median') - list_aggregate(CAST(embedding[48:63] AS DOUBLE[]), 'median'))), 9) AS contrast FROM embeddings""")
+@query("""SELECT vec_id, round(greatest(abs(list_aggregate(CAST(embedding[1:16] AS DOUBLE[]), 'median') - list_aggregate(CAST(embedding[33:48] AS DOUBLE[]), 'median')), abs(list_aggregate(CAST(embedding[17:32] AS DOUBLE[]), 'median') - list_aggregate(CAST(embedding[49:64] AS DOUBLE[]), 'median'))), 9) AS contrast FROM embeddings""")
 def median_contrast(spark, sf_dir):
-    cut = lambda a, n: F.slice("embedding", a, n)
-    c = M.contrast(F.array(cut(1, 15), cut(16, 16)), F.array(cut(33, 15), cut(48, 16)))
+    cut = lambda a: F.slice("embedding", a, 16)
+    c = M.contrast(F.array(cut(1), cut(17)), F.array(cut(33), cut(49)))
     return table(spark, sf_dir, "embeddings").select("vec_id", F.round(c, 9).alias("contrast"))
 
 
@@ -387,12 +370,12 @@ def parity(spark, sf_dir):
     return M.parity(rows, "iou", ["d1", "d2"]).select(F.round("iou", 9).alias("iou"), F.round("delta", 9).alias("delta"))
 
 
-@query("""WITH c AS (SELECT vec_id, i, CAST(embedding[2 * i + 1] AS DOUBLE) AS x, CAST(embedding[2 * i + 2] AS DOUBLE) AS y, CAST(embedding[2 * i + 9] AS DOUBLE) AS u, CAST(embedding[2 * i + 10] AS DOUBLE) AS v FROM embeddings, range(4) AS t(i)),
+@query("""WITH c AS (SELECT vec_id, i, CAST(embedding[2 * i + 1] AS DOUBLE) AS x, CAST(embedding[2 * i + 2] AS DOUBLE) AS y, CAST(embedding[2 * i + 33] AS DOUBLE) AS u, CAST(embedding[2 * i + 34] AS DOUBLE) AS v FROM embeddings, range(16) AS t(i)),
 d AS (SELECT a.vec_id, a.i, min(sqrt((a.x - b.u) * (a.x - b.u) + (a.y - b.v) * (a.y - b.v))) AS d FROM c a JOIN c b USING (vec_id) GROUP BY 1, 2) SELECT vec_id, round(max(d), 9) AS error FROM d GROUP BY vec_id""")
 def nearest_point(spark, sf_dir):
     e = F.transform("embedding", lambda v: v.cast("double"))
-    corners = lambda start: F.array(*[F.struct(e[start + 2 * i].alias("x"), e[start + 2 * i + 1].alias("y")) for i in range(4)])
-    return table(spark, sf_dir, "embeddings").select("vec_id", F.round(M.nearest_corner(corners(0), corners(8)), 9).alias("error"))
+    corners = lambda start: F.array(*[F.struct(e[start + 2 * i].alias("x"), e[start + 2 * i + 1].alias("y")) for i in range(16)])
+    return table(spark, sf_dir, "embeddings").select("vec_id", F.round(M.nearest_corner(corners(0), corners(32)), 9).alias("error"))
 
 
 @query("""SELECT round(avg(m), 9) AS value FROM (SELECT event_id // 25 AS b, sum(CASE WHEN event_type = 'click' THEN value ELSE 0 END) / (count(*) FILTER (event_type = 'click') + 1e-6) AS m FROM events GROUP BY 1)""")
@@ -443,11 +426,13 @@ def boolean_text(spark, sf_dir):
     return table(spark, sf_dir, "orders").select("o_orderkey", X.to_boolean(text).alias("done"))
 
 
-@query("SELECT event_id, user_id AS first, 'base/' || event_type AS path FROM events")
+@query("""SELECT event_id, user_id AS first, '{"voice":{"model":{"file":"base/' || event_type || '.bin","note":"' || event_type || '","deep":{"a":"base/x/' || user_id || '.json","b":"/abs/x.bin"}}},"config":"base/c.json"}' AS paths FROM events""")
 def map_functions(spark, sf_dir):
     first = A.first_of_each(F.create_map(F.lit("a"), F.array("user_id", "event_id")))["a"]
-    path = X.under(F.lit("base/"), F.create_map(F.lit("a"), "event_type"))["a"]
-    return table(spark, sf_dir, "events").select("event_id", first.alias("first"), path.alias("path"))
+    deep = F.create_map(F.lit("a"), F.concat(F.lit("x/"), "user_id", F.lit(".json")), F.lit("b"), F.lit("/abs/x.bin"))
+    model = F.struct(F.concat("event_type", F.lit(".bin")).alias("file"), F.col("event_type").alias("note"), deep.alias("deep"))
+    files = table(spark, sf_dir, "events").select("event_id", first.alias("first"), F.struct(F.create_map(F.lit("model"), model).alias("voice"), F.lit("c.json").alias("config")).alias("f"))
+    return files.select("event_id", "first", F.to_json(X.under(F.lit("base"), F.col("f"), files.schema["f"].dataType)).alias("paths"))
 
 
 @query("SELECT c_custkey, coalesce(string_agg(DISTINCT o_orderstatus, ', ' ORDER BY o_orderstatus), 'none') AS available FROM customer LEFT JOIN orders ON o_custkey = c_custkey GROUP BY c_custkey")
@@ -473,10 +458,11 @@ def position_zip(spark, sf_dir):
     return M.zipped(e, e, "vec_id")
 
 
-@query("""SELECT * FROM (VALUES ('arabic', 'ar', 1536, 1791), ('devanagari', 'hi', 2304, 2431), ('tamil', 'ta', 2944, 3071), ('thai', 'th', 3584, 3711), ('cjk', 'zh_cn', 19968, 40959),
-('cjk', 'ja', 19968, 40959), ('cjk', 'ja', 12352, 12543), ('cjk', 'ko', 44032, 55203), ('cjk', 'ko', 19968, 40959)) AS t(script, code, lo, hi)""")
+@query("""SELECT CASE n_nationkey % 5 WHEN 0 THEN 'arabic' WHEN 1 THEN 'devanagari' WHEN 2 THEN 'tamil' ELSE 'cjk' END AS script, n_name AS word FROM nation
+UNION ALL SELECT 'thai', chr(CAST(p AS INTEGER)) FROM range(3584, 3712) AS t(p)""")
 def lookup_chain(spark, sf_dir):
-    return L.script_words(spark)
+    code = F.element_at(F.array(*[F.lit(x) for x in ("ar", "hi", "ta", "zh_cn", "ja")]), F.col("n_nationkey") % 5 + 1)
+    return G.script_fallback(table(spark, sf_dir, "nation").select(code.alias("code"), F.col("n_name").alias("word")), L.script_words(spark))
 
 
 @query("SELECT event_type, count(*) AS n, count(DISTINCT user_id) AS users FROM events GROUP BY event_type")
@@ -561,3 +547,6 @@ def weight_share(spark, sf_dir):
     rows = table(spark, sf_dir, "supplier")
     total = rows.agg(F.sum("s_acctbal").alias("t"))
     return rows.select("s_suppkey", F.round(F.col("s_acctbal") / total.scalar(), 9).alias("share"))
+
+
+from lodestone.plans import landed  # noqa: E402, F401  (registers its queries)

@@ -28,6 +28,36 @@ def write_documents(rows: DataFrame, path: str, value: str = "value") -> None:
     rows.select(value).write.mode("overwrite").text(path)
 
 
+def write_each(rows: DataFrame, path: str, name: str, value: str = "value") -> None:
+    """A text file for each row, in a folder of its name: readers of whole documents take one from each."""
+    rows.select(name, value).write.mode("overwrite").partitionBy(name).text(path)
+
+
+def write_files(rows: DataFrame, path: str, name: str = "name", content: str = "content") -> DataFrame:
+    """Writes the content of every row to a file of its name below path, a URI or a path, on any file system that
+    pyarrow knows, under a temporary name that is then moved: a task that runs twice leaves whole files. Returns
+    (name, size); the files are there once it is read."""
+
+    def run(batches):
+        from uuid import uuid4
+
+        from pyarrow import RecordBatch, array, fs, int64, string
+
+        files, base = fs.FileSystem.from_uri(path) if ":" in path else (fs.LocalFileSystem(), path)
+        files.create_dir(base, recursive=True)
+        for batch in batches:
+            names, sizes = batch.column(0).to_pylist(), []
+            for to, data in zip(names, batch.column(1).to_pylist(), strict=True):
+                temporary = f"{base}/.{uuid4().hex}"
+                with files.open_output_stream(temporary, compression=None) as f:
+                    f.write(data or b"")
+                files.move(temporary, f"{base}/{to}")
+                sizes.append(len(data or b""))
+            yield RecordBatch.from_arrays([array(names, string()), array(sizes, int64())], ["name", "size"])
+
+    return rows.select(F.col(name).alias("name"), F.col(content).alias("content")).mapInArrow(run, "name string, size long")
+
+
 def catalog_groups(rows: DataFrame, fields: list[str], group: str = "group", pos: str = "pos") -> DataFrame:
     """(group, bidirectional, value): the directions of each group in order, as one JSON array.
 
@@ -46,13 +76,13 @@ def sidecars(files: DataFrame, path: str = "path", content: str = "content") ->
 
 
 def write_keys(keys: DataFrame, path: str, pos: str = "pos", value: str = "value") -> int:
-    """One character per line in order; returns how many."""
+    """One character per line in order; returns how many, read from what was written."""
     keys.repartitionByRange(pos).sortWithinPartitions(pos).select(value).write.mode("overwrite").text(path)
-    return keys.count()
+    return keys.sparkSession.read.text(path).count()
 
 
 def vocabulary(tokens: DataFrame, token: str = "token", token_id: str = "id") -> DataFrame:
-    """One row: the binary vocabulary, entries by id."""
+    """One row: the binary vocabulary, entries by id. It is one value by its nature: a vocabulary must fit a task."""
     entry = B.vocabulary_entry(F.col(token), F.col(token_id))
     entries = F.array_sort(F.collect_list(F.struct(F.col(token_id).alias("id"), F.hex(entry).alias("e"))))
     return tokens.agg(F.unhex(F.array_join(F.transform(entries, lambda x: x["e"]), "")).alias("value"))

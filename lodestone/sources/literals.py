@@ -30,6 +30,10 @@ SCRIPT_WEIGHTS = {"latin": 50, "cjk": 20, "arabic": 10, "devanagari": 8, "tamil"
 FOLDS = {"half": ["ConvTranspose.2"], "quarter": ["ConvTranspose.2", "ConvTranspose.0"]}
 PRIORITIES = {"": 2, "half": 1, "quarter": 3}
 
+#: Kinds of models that are named after their stem.
+STEM_KINDS = ("aligner", "glyphmatte")
+
+#: Columns of a shard.
 SHARD_COLUMNS = ["rgb", "matte", "weight", "foreground", "background"]
 
 
