@@ -1,14 +1,19 @@
-"""The registered queries: SQL where there is some, contracts elsewhere, and the pipeline against brute force."""
+"""The registered queries: against SQL where there is some, against brute force or the libraries elsewhere."""
 
+import base64
+import hashlib
 import math
 import zlib
 
 import duckdb
+import numpy as np
 import public_tokenizers as P
 import pytest
+import sentencepiece
+import tiktoken
+from test_jaccard import grams
 
-import corpus_pipeline
-from lodestone.llm import bpe, decontam, jaccard, quality, queries, secret_scan
+from lodestone.llm import queries
 
 NAMES = "documents embeddings pages benchmark labels".split()
 
@@ -29,6 +34,57 @@ def test_same_rows_as_sql(spark, small, name):
     assert sorted(tuple(plain(r[x]) for x in order) for r in df.collect()) == sorted(tuple(plain(r[k]) for k in at) for r in sql.fetchall())
 
 
+def test_token_values(spark, small):
+    """The libraries themselves, over whole texts."""
+    docs = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{small}/documents.parquet").collect()}
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(P.path(queries.BPE), "rb"))}
+    bpe = tiktoken.Encoding("test", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    pieces = sentencepiece.SentencePieceProcessor(model_file=P.path(queries.PIECES))
+    sha = lambda x: hashlib.sha256(x).hexdigest()
+    for r in queries.op2_bpe_tree(spark, small).collect():
+        ids = bpe.encode_ordinary(docs[r.doc_id])
+        assert (r.n_tokens, r.ids_sha256, r.decoded_sha256) == (len(ids), sha(" ".join(map(str, ids)).encode()), sha(docs[r.doc_id].encode()))
+    for r in queries.op3_token_counts(spark, small).collect():
+        n = len(pieces.encode(docs[r.doc_id]))
+        assert (r.n_bytes, r.n_tokens, r.over_limit) == (len(docs[r.doc_id].encode()), n, n > 4096)
+
+
+def groups(links, ids):
+    """The smallest id that is reachable from each, and the number of direct links."""
+    top, n = {k: k for k in ids}, dict.fromkeys(ids, 0)
+
+    def find(x):
+        while top[x] != x:
+            x = top[x]
+        return x
+
+    for a, b in links:
+        n[a] += 1
+        n[b] += 1
+        p, q = find(a), find(b)
+        top[max(p, q)] = min(p, q)
+    return {k: (n[k], find(k)) for k in ids}
+
+
+def test_link_values(spark, small):
+    """Every pair looked at: cosines within labels, and Jaccard of word 5-grams."""
+    rows = [r for r in spark.read.parquet(f"{small}/embeddings.parquet").collect()]
+    by, pairs = {}, []
+    for r in rows:
+        v = None if r.embedding is None or None in r.embedding else np.array(r.embedding, float)
+        if v is not None and r.label is not None and np.isfinite(v).all() and v.any():
+            by.setdefault(r.label, []).append((r.vec_id, v / np.linalg.norm(v)))
+    for members in by.values():
+        x = np.array([v for _, v in members])
+        pairs += [(members[a][0], members[b][0]) for a, b in zip(*np.nonzero(np.triu(x @ x.T >= 0.93, 1)))]
+    want = groups(pairs, [r.vec_id for r in rows])
+    assert {r.vec_id: (r.n_links, r.component_id) for r in queries.op6_nn_descent(spark, small).collect()} == want
+    docs = {r.doc_id: grams(r.text) for r in spark.read.parquet(f"{small}/documents.parquet").collect()}
+    pairs = [(a, b) for a in docs for b in docs if a < b and docs[a] and docs[b] and len(docs[a] & docs[b]) >= 0.8 * len(docs[a] | docs[b])]
+    want = groups(pairs, docs)
+    assert {r.doc_id: (r.n_links, r.class_id) for r in queries.op9_jaccard_join(spark, small).collect()} == want
+
+
 COLUMNS = {
     "op2_bpe_tree": ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
     "op3_token_counts": ["doc_id", "n_bytes", "n_tokens", "over_limit"],
@@ -47,50 +103,3 @@ def test_contract(spark, small, name):
     assert len(rows) == spark.read.parquet(f"{small}/{table}.parquet").count()
     if "held_out" in got.columns:
         assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) and 0 <= r.score <= 1 for r in rows)
-
-
-def test_pipeline_against_brute_force(spark, small):
-    docs = {r.doc_id: r for r in spark.read.parquet(f"{small}/documents.parquet").collect()}
-    frame = spark.read.parquet(f"{small}/documents.parquet")
-    model = quality.fit(frame, spark.read.parquet(f"{small}/labels.parquet"))
-    sizes = quality.Sizes(model.dictionaries)
-    ids = sorted(docs)
-    scores = dict(zip(ids, model.score(sizes, [docs[k].text for k in ids])))
-    first = corpus_pipeline.good_quality(spark, frame, small)
-    kept = sorted(r.doc_id for r in first.collect())
-    assert kept == [k for k in ids if scores[k] >= quality.THRESHOLD] and len(kept) < len(ids)
-    sets = {k: frozenset(jaccard.n_grams(docs[k].text).tolist()) for k in kept}
-    top = {k: k for k in kept}
-
-    def find(x):
-        while top[x] != x:
-            x = top[x]
-        return x
-
-    for i, a in enumerate(kept):
-        for b in kept[:i]:
-            if sets[a] and sets[b] and len(sets[a] & sets[b]) / len(sets[a] | sets[b]) >= 0.8:
-                p, q = find(a), find(b)
-                top[max(p, q)] = min(p, q)
-    one = [k for k in kept if find(k) == k]
-    stage1 = frame.filter(frame.doc_id.isin(kept))
-    second = corpus_pipeline.one_of_near_duplicates(spark, stage1, small)
-    assert sorted(r.doc_id for r in second.collect()) == one
-    bench = decontam.Windows([(str(r.item_id), r.text) for r in spark.read.parquet(f"{small}/benchmark.parquet").collect()])
-    clean = [k for k in one if not len(decontam._located(bench, [decontam.words(docs[k].text)])[1])]
-    third = corpus_pipeline.without_benchmark(spark, frame.filter(frame.doc_id.isin(one)), small)
-    assert sorted(r.doc_id for r in third.collect()) == clean and len(clean) < len(one)
-    fourth = corpus_pipeline.without_secrets(spark, frame.filter(frame.doc_id.isin(clean)), small)
-    assert fourth.columns == frame.columns
-    texts = {r.doc_id: r.text for r in fourth.collect()}
-    live = {r.doc_id for r in secret_scan.report(third).collect() if r.n_live}
-    assert sorted(texts) == clean and {k for k, t in texts.items() if secret_scan.REDACTED in t} == live
-    assert all(t == docs[k].text for k, t in texts.items() if secret_scan.REDACTED not in t)
-    last = {r.doc_id: r for r in corpus_pipeline.tokens(spark, fourth, small).collect()}
-    tree = bpe.coder(P.path(queries.BPE), P.PATTERN)
-    assert all(list(last[k].ids) == tree.coder.encode_ordinary(texts[k]) for k in clean)
-
-
-def test_pipeline_run(spark, small):
-    assert corpus_pipeline.run(spark, small).count() > 0
-    assert [len(x) for x in corpus_pipeline.STAGES] == [2] * 5
