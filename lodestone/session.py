@@ -45,6 +45,12 @@ def scratch(spark: SparkSession, name: str) -> str:
     return to
 
 
+def discard(spark: SparkSession, folder: str) -> None:
+    """Deletes a folder that is no longer read."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Computes df once and cuts its lineage with a reliable checkpoint in the shared folder."""
     shared_dir(df.sparkSession)
