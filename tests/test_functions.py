@@ -94,3 +94,45 @@ def test_uniform_is_the_same_everywhere(spark):
     import hashlib
 
     assert one(spark, N.uniform(F.lit(7), "s"))[0] == int(hashlib.sha256(b"7s").hexdigest()[:8], 16) / 2**32
+
+
+def test_scores_are_rounded_on_the_binary_value(spark):
+    """As round() does, for all scores of four digits, and for other numbers and digits."""
+    import random
+
+    from lodestone.functions import numbers as N
+
+    df = spark.range(10_001).selectExpr("id / 10000.0D AS x")
+    assert [r for r in df.select("x", N.score_100(F.col("x")).alias("y")).collect() if r.y != round(r.x * 100, 1)] == []
+    rng = random.Random(2)
+    xs = [rng.uniform(-1000, 1000) for _ in range(3000)] + [k / 8 for k in range(-200, 200)] + [0.0, 2.5, 1e15 + 0.3, 1e17, -1e300, 5e-324]
+    df = spark.createDataFrame([(x,) for x in xs], "x double")
+    for digits in (0, 1, 2, 4):
+        assert [r for r in df.select("x", N.rounded(F.col("x"), digits).alias("y")).collect() if r.y != round(r.x, digits)] == []
+
+
+def test_png_filters():
+    """All five filters of a row, undone pixel by pixel."""
+    import random
+    import struct
+    import zlib
+
+    from lodestone.functions import binary as B
+
+    rng, width, height = random.Random(1), 9, 25
+    for channels, color in ((1, 0), (3, 2), (4, 6)):
+        stride = width * channels
+        raw = bytes(rng.randrange(256) for _ in range(stride * height))
+        lines, above = b"", bytes(stride)
+        for y in range(height):
+            line, kind = raw[y * stride : (y + 1) * stride], y % 5
+            lines += bytes([kind])
+            for x in range(stride):
+                a, b, c = (line[x - channels] if x >= channels else 0), above[x], (above[x - channels] if x >= channels else 0)
+                p = a + b - c
+                paeth = min((abs(p - a), 0, a), (abs(p - b), 1, b), (abs(p - c), 2, c))[2]
+                lines += bytes([(line[x] - (0, a, b, (a + b) // 2, paeth)[kind]) & 255])
+            above = line
+        chunk = lambda k, d: struct.pack(">I", len(d)) + k + d + struct.pack(">I", zlib.crc32(k + d))
+        data = b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", struct.pack(">IIBBBBB", width, height, 8, color, 0, 0, 0)) + chunk(b"IDAT", zlib.compress(lines)) + chunk(b"IEND", b"")
+        assert B.png_pixels(data) == raw

@@ -182,3 +182,82 @@ def test_empty_tables(spark):
     assert R.preferred(none, ["pair"]).count() == 0
     assert D.numbered(spark.range(0), "id").count() == 0
     assert I.languages(spark.createDataFrame([], "source string, target string")).first().n == 0
+
+
+def test_numbers_of_many_rows_with_other_columns(spark, tmp_path):
+    """Exactly 0 to n-1 in order, also over several files and partitions, with columns besides the order."""
+    n = 1_500_000
+    spark.range(0, n, 1, 16).selectExpr("id * 7919 % 1500000 AS k", "concat('text ', id) AS payload", "id % 13 AS c").write.parquet(str(tmp_path / "t"))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "24")
+    try:
+        got = D.numbered(spark.read.parquet(str(tmp_path / "t")), "k")
+        got.write.parquet(str(tmp_path / "out"))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    out = spark.read.parquet(str(tmp_path / "out"))
+    assert out.agg(F.count("*"), F.count_distinct("index"), F.min("index"), F.max("index")).first() == (n, n, 0, n - 1)
+    assert out.filter("index <> k").count() == 0 and set(out.columns) == {"k", "payload", "c", "index"}
+
+
+def test_numbers_of_equal_keys(spark):
+    df = spark.range(10_000).select(F.lit(1).alias("k"), F.col("id").alias("other"))
+    a, b = (sorted((r["index"], r.other) for r in D.numbered(df.repartition(x), "k").collect()) for x in (3, 7))
+    assert [x for x, _ in a] == list(range(10_000)) and a == b
+
+
+def test_running_sums(spark):
+    df = spark.range(5000).selectExpr("id % 3 AS g", "id AS k", "id % 7 AS v").unionByName(spark.range(5).selectExpr("CAST(NULL AS BIGINT) AS g", "id AS k", "1L AS v"))
+    plain, ranges = ({(r.g, r.k): r.s for r in D.running(df, ["g"], ["k"], F.col("v"), "s", few).collect()} for few in (10**6, 10))
+    assert plain == ranges and len(plain) == 5005 and plain[None, 4] == 4 and plain[0, 9] == 0 + 3 + 6
+
+
+def test_batches_by_ranges(spark, monkeypatch):
+    df = spark.range(1000).selectExpr("id", "CASE WHEN id % 3 = 0 THEN 96 ELSE 112 END AS width")
+    want = rows(D.batches(df, "width", "id", 8))
+    monkeypatch.setattr(D.running, "__defaults__", (5,))
+    assert rows(D.batches(df, "width", "id", 8)) == want and len(want) == 334 // 8 * 8 + 666 // 8 * 8
+
+
+def test_auc_against_all_pairs(spark, monkeypatch):
+    import random
+
+    rng = random.Random(4)
+    data = [(rng.choice(["a", "b", None]), rng.choice([0.0, 0.1, 0.3, 0.55, 0.8, rng.random()]), round(rng.random(), 1)) for _ in range(300)] + [("c", 0.5, 1.0), ("d", None, 1.0)]
+    df = spark.createDataFrame(data, "k string, t double, p double")
+    for few in (10**6, 20):
+        monkeypatch.setattr(D.running, "__defaults__", (few,))
+        got = {r.k: r.auc for r in M.pairwise_auc(df, ["k"], "t", "p").collect()}
+        for key in ("a", "b", None):
+            pairs = [(x[2], y[2]) for x in data for y in data if x[0] == y[0] == key and x[1] - 0.25 > y[1]]
+            assert math.isclose(got[key], sum(1.0 if p > q else 0.5 if p == q else 0.0 for p, q in pairs) / len(pairs))
+        assert math.isnan(got["c"]) and math.isnan(got["d"])
+
+
+def test_auc_of_very_many_scores(spark):
+    """A million scores and a thousand labels: the score is the label and noise that no pair notices."""
+    df = spark.range(1_000_000).selectExpr("1 AS k", "id % 1000 / 1000.0D AS t", "id % 1000 / 1000.0D + id / 1e10 AS p")
+    assert M.pairwise_auc(df, ["k"], "t", "p").first().auc == 1.0
+
+
+def test_operators_of_inner_graphs(spark):
+    n = spark.createDataFrame([("main", "a", "Conv", None), ("main", "b", "If", "x"), ("main", "c", "Loop", "y"), ("x", "d", "Conv", None), ("y", "e", "Conv", None), ("it's", "f", "Conv", None)], "graph string, name string, op string, subgraph string")
+    assert sorted(r.name for r in E.operators(n, "main", ["Conv", "If", "Loop"], ["Loop"]).collect()) == ["a", "b", "d"]
+    assert [r.name for r in E.operators(n, "it's", ["Conv"], []).collect()] == ["f"]
+    assert E.nested_nodes(n, "none").count() == 0
+
+
+def test_kinds_named_after_their_stem(spark):
+    df = spark.createDataFrame([("aligner", "s"), ("glyphmatte", "g")], "kind string, stem string")
+    got = df.select(E.artifact_name(F.col("kind"), F.lit("t"), F.col("stem"), F.lit(""), "F").alias("n")).collect()
+    assert [r.n for r in got] == ["s_int8.mnn", "g_int8.mnn"]
+
+
+def test_stroke_of_a_mask(spark):
+    """A bar of ten by four places in a strip of twenty by six."""
+    cover = [1.0 if 1 <= y < 5 and 3 <= x < 13 else 0.0 for y in range(6) for x in range(20)]
+    dist = [min(y, 5 - y) * 0.5 * c for y, c in zip([k // 20 for k in range(120)], cover)]
+    ink = [d for d, c in zip(dist, cover) if c > 0.5]
+    df = spark.createDataFrame([(cover, dist), ([0.0] * 120, dist)], "c array<double>, d array<double>")
+    got = [r.s for r in df.select(M.stroke_of(F.col("c"), F.col("d"), F.lit(20)).alias("s")).collect()]
+    assert math.isclose(got[0], min(0.45, 2 * sum(ink) / len(ink) / 4)) and got[1] == 0.0
