@@ -249,13 +249,13 @@ def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size:
     classes = cut(classes.withColumn("node", F.monotonically_increasing_id()))  # read again, the numbers stay
     met = meetings(classes)
     candidates = cut(connected_components(met.filter("node != hub"), "node", "hub"))
-    wanted = candidates.join(classes.select("node", "key", "n", "bands", "first.jid", "first.jhash"), "node").drop("component")
-    wanted = cut(wanted)
+    wanted = cut(candidates.join(classes.select("node", "key", "n", "bands", "first.jid", "first.jhash"), "node").drop("component"))
     partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     sets = full_sets(docs, wanted.select("jid", "jhash"), id_col, text_col, size)
     sets = sets.groupBy("key").agg(F.any_value("grams").alias("grams"))  # repeated rows name the same set
-    full = wanted.drop("jid", "jhash").join(sets, "key").drop("key")
-    cells = by_cell(units(met, candidates, block).join(full, "node"), verify(threshold), "node long, links long, other long", partitions, ("unit", "band"))
+    # narrow rows meet first, so that the sets are shuffled once to their units and once to their cells
+    placed = units(met, candidates, block).join(wanted.drop("jid", "jhash"), "node").join(sets, "key").drop("key")
+    cells = by_cell(placed, verify(threshold), "node long, links long, other long", partitions, ("unit", "band"))
     checked = cut(cells)
     near = connected_components(checked.filter("other is not null"), "node", "other")
     more = checked.groupBy("node").agg(F.sum("links").alias("more"))
