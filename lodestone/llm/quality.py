@@ -17,7 +17,7 @@ reaches the driver is bounded whatever the size of the input. Every text is scor
 
 Null and empty texts are scored like a text whose sizes are all 0 and get the share of label 1 among the
 labelled rows. Repeated rows give repeated results; labels that are null or neither 0 nor 1 are left out, and a
-document with both labels is used with each. With one label only, or no labelled rows, every score is the
+document with both labels is used with each; of rows with the same labelled id the text that sorts first teaches. With one label only, or no labelled rows, every score is the
 share of label 1 (1 if there is none). An empty table gives an empty result. Columns other than the named ones
 are never read by score(); keep() returns all columns untouched.
 """
@@ -140,7 +140,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     ids = sampled(known, F.concat(F.col("doc_id").cast("string"), F.lit(":quality")), "y", per_class)
     # two labels of per_class ids each: bounded by the parameter, so it may be sent to every executor
     rows = texts(docs, id_col, text_col).filter("text != ''").join(F.broadcast(ids), "doc_id")
-    found = rows.select("doc_id", spread(F.col("text"), SAMPLE_CHARS).alias("text"), "y").collect()
+    # an id that documents hold many times teaches one text
+    found = rows.select("doc_id", spread(F.col("text"), SAMPLE_CHARS).alias("text"), "y").groupBy("doc_id", "y").agg(F.min("text").alias("text")).collect()
     found = sorted({(r.text, r.y) for r in found}, key=lambda r: (hash_of(r[0]), r[1]))
     n = sum(shares.values())
     share = shares.get(1, 0) / n if n else 1.0
