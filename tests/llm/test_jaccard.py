@@ -84,7 +84,7 @@ def verified(spark, rows, block):
 
 
 def test_chains_go_by_bucket(spark):
-    rows = chain(160)
+    rows = chain(200)
     got = J.links(frame(spark, rows), block=8).collect()
     assert sorted(((r.doc_id, r.n_links, r.class_id) for r in got), key=str) == brute(rows)
     sent = []
