@@ -46,9 +46,9 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, prefix = scratch(spark, "warc"), "urn:x-page:"
-    warc.archive(table(spark, sf_dir, "pages"), path, "page_id", "url", "html", prefix)
+    warc.archive(table(spark, sf_dir, "pages"), path, "page_id", "url", "html", prefix, unnamed=True)
     found = warc.read(spark, path).filter(F.col("record_type").isin("response", "revisit"))
-    number = lambda x: F.substring_index(x, ":", -1).cast("long")
+    number = lambda x: F.nullif(F.substring_index(x, ":", -1), F.lit("null")).cast("long")
     size = F.when(F.col("record_type") == "response", F.octet_length("payload")).otherwise(F.col("payload_bytes"))
     return found.select(number("record_id").alias("page_id"), size.cast("long").alias("payload_bytes"), "payload_digest", "record_type", number("refers_to").alias("refers_to"))
 

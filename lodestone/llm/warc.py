@@ -14,9 +14,10 @@ repeated task leaves behind is never seen. Paths are URIs of any file system tha
 
 archive() writes one record per row. Of rows with equal payloads of at least least_bytes, the one with the
 smallest id is a `response`; the others are `revisit` records that refer to it and carry no payload. Null
-payloads are empty ones; a row with a null id is always a response; repeated rows with the smallest id are all
-responses; null URLs have no target header; line ends in URLs are percent-encoded. An empty table gives an
-archive without records. Other columns, whatever their names, are ignored.
+payloads are empty ones; a row with a null id is always a response unless `unnamed` is set, as the query does:
+then it revisits an equal payload that has an id; repeated rows with the smallest id are all responses; null URLs
+have no target header; line ends in URLs are percent-encoded. An empty table gives an archive without records.
+Other columns, whatever their names, are ignored.
 """
 
 from __future__ import annotations
@@ -360,21 +361,25 @@ def read(spark: SparkSession, path: str, payload: bool = True) -> DataFrame:
     return spark.read.format("warc").option("payload", str(payload).lower()).option("pushed", scans).load(path).filter(F.col("record_type").isNotNull())
 
 
-def planned(rows: DataFrame, id_col: str, url_col: str, payload_col: str, id_prefix: str, least_bytes: int = 0) -> DataFrame:
+def planned(rows: DataFrame, id_col: str, url_col: str, payload_col: str, id_prefix: str, least_bytes: int = 0, unnamed: bool = False) -> DataFrame:
     """What archive() writes, one line per row: SCHEMA, with the digest in hex, which the writer turns to base32, and revisits without payload."""
     full = rows.select(F.col(id_col).alias("id"), F.col(url_col).cast("string").alias("target_uri"), F.coalesce(F.col(payload_col), F.lit("")).cast("binary").alias("payload"))
     full = full.withColumn("sha1", F.sha1("payload")).withColumn("payload_bytes", F.octet_length("payload").cast("long"))
+    met = (F.col("payload_bytes") >= least_bytes) & (F.lit(unnamed) | F.col("id").isNotNull())
     # narrow rows only, summed up before the shuffle
-    firsts = cut(full.filter(F.col("payload_bytes") >= least_bytes).groupBy("sha1").agg(F.min("id").alias("first"), F.count("id").alias("n")).filter("n > 1").select("sha1", "first"))
-    marked = maybe_in(full, F.col("sha1"), firsts.select("sha1"), "copied")
-    marked = maybe_in(marked, F.struct("sha1", "id"), firsts.select(F.struct("sha1", F.col("first").alias("id")).alias("k")), "leads")
-    met = F.col("copied") & F.col("id").isNotNull() & (F.col("payload_bytes") >= least_bytes)
+    groups = cut(full.filter(met).groupBy("sha1").agg(F.min("id").alias("first"), F.count("*").alias("n")))
+    firsts = groups.filter("n > 1 AND first IS NOT NULL").select("sha1")
+    maybe_copied = lambda x: maybe_in(x, F.col("sha1"), firsts, "copied")
+    # payloads without a copy that the filter lets through lead, too: nothing else holds what they carry
+    leading = cut(maybe_copied(groups).filter("copied").select("sha1", "first"))
+    marked = maybe_in(maybe_copied(full), F.struct("sha1", "id"), leading.select(F.struct("sha1", F.col("first").alias("id")).alias("k")), "leads")
     # only rows that may have a copy are shuffled, and of these only the payloads that may be kept
+    met = F.col("copied") & met
     copies = marked.filter(met).withColumn("payload", F.when(F.col("leads"), F.col("payload"))).drop("copied", "leads")
-    copies = split_join(copies, firsts, "sha1", how="left")
-    alone = marked.filter(~met).drop("copied", "leads").withColumn("first", F.lit(None).cast(firsts.schema["first"].dataType))
+    copies = split_join(copies, leading, "sha1", how="left")
+    alone = marked.filter(~met).drop("copied", "leads").withColumn("first", F.lit(None).cast(leading.schema["first"].dataType))
     name = lambda x: F.concat(F.lit(id_prefix), F.col(x).cast("string"))
-    again = F.coalesce(F.col("id") != F.col("first"), F.lit(False))
+    again = F.col("first").isNotNull() & ~F.col("id").eqNullSafe(F.col("first"))
     return alone.unionByName(copies).select(
         F.coalesce(name("id"), F.concat(F.lit(id_prefix), F.lit("null"))).alias("record_id"),
         F.when(again, "revisit").otherwise("response").alias("record_type"),
@@ -386,7 +391,7 @@ def planned(rows: DataFrame, id_col: str, url_col: str, payload_col: str, id_pre
     )
 
 
-def archive(rows: DataFrame, path: str, id_col: str, url_col: str, payload_col: str, id_prefix: str = "urn:x-row:", least_bytes: int = 0) -> None:
+def archive(rows: DataFrame, path: str, id_col: str, url_col: str, payload_col: str, id_prefix: str = "urn:x-row:", least_bytes: int = 0, unnamed: bool = False) -> None:
     """Writes the archives of rows below path."""
     register(rows.sparkSession)
-    planned(rows, id_col, url_col, payload_col, id_prefix, least_bytes).write.format("warc").mode("append").save(path)
+    planned(rows, id_col, url_col, payload_col, id_prefix, least_bytes, unnamed).write.format("warc").mode("append").save(path)

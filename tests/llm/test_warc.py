@@ -6,6 +6,7 @@ import io
 import pytest
 from pyspark.sql import functions as F
 
+from lodestone.llm import queries
 from lodestone.llm import warc as W
 
 DDL = "page_id long, url string, html string, payload string, record_type int"
@@ -94,6 +95,25 @@ def test_copies_alone_are_shuffled(spark):
     assert bytes(next(r for r in got if r.record_id == "100").payload) == b"the same"
 
 
+def test_payloads_without_a_copy_are_kept_where_the_filter_lets_them_through(spark):
+    """With 300 copied payloads, the bit set lets some of 3000 others through."""
+    rows = [(k, "u", f"page {k % 300}") for k in range(600)] + [(1000 + k, "u", f"alone {k}") for k in range(3000)]
+    got = {r.record_id: r for r in W.planned(frame(spark, rows), "page_id", "url", "html", "").collect()}
+    assert len(got) == len(rows)
+    for k, _, html in rows:
+        r, again = got[str(k)], 300 <= k < 600
+        assert (r.record_type, r.refers_to) == (("revisit", str(k - 300)) if again else ("response", None))
+        assert r.payload is None if again else bytes(r.payload).decode() == html
+
+
+def test_query_on_rows_without_an_id(spark, tmp_path):
+    rows = [(None, "u", "same"), (2, "u", "same"), (1, "u", "same"), (None, "u", "alone"), (3, "u", None), (None, None, "")]
+    spark.createDataFrame(rows, "page_id long, url string, html string").write.parquet(str(tmp_path / "pages.parquet"))
+    got = {tuple(r) for r in queries.op8_warc(spark, str(tmp_path)).collect()}
+    kinds = [("revisit", 1), ("revisit", 1), ("response", None), ("response", None), ("response", None), ("revisit", 3)]
+    assert got == {(k, len(html or ""), digest(html), *kind) for (k, _, html), kind in zip(rows, kinds, strict=True)}
+
+
 class Counting(io.BytesIO):
     taken = 0
 
